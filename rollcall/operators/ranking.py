@@ -99,6 +99,31 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
             .drop("__mid", "__pid", "__first", "__offset"))
 
 
+def cumulative_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                      value: Column, out: str, num_partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` per group in ``order_cols`` order (inclusive).
+
+    Same split as :func:`sequence_within`: a range repartition spreads a hot
+    group over many partitions; each (group, partition) slice is summed by a
+    window bounded by the partition size, plus the totals of the group's
+    earlier partitions.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in (*group_cols, *order_cols)]
+    ranged = (df.withColumn("__val", value).repartitionByRange(n, *keys)
+              .withColumn("__pid", F.spark_partition_id()))
+    local_w = (Window.partitionBy(*group_cols, "__pid").orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = ranged.groupBy(*group_cols, "__pid").agg(F.sum("__val").alias("__tot"))
+    ranged = ranged.withColumn("__local", F.sum("__val").over(local_w))
+    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("__offset", F.coalesce(F.sum("__tot").over(before), F.lit(0))).drop("__tot")
+    joined = join_back(ranged, totals, [*group_cols, "__pid"])
+    return (joined.withColumn(out, F.col("__offset") + F.col("__local"))
+            .drop("__val", "__pid", "__local", "__offset"))
+
+
 def last_wins(df: DataFrame, key_cols: Sequence[str], order_col: str) -> DataFrame:
     """A4: one row per key — the one with the highest ``order_col``."""
     rest = [c for c in df.columns if c not in key_cols]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollcall.plans import extract
 from rollcall.testbed import Testbed
@@ -44,3 +45,129 @@ def _section_groups(tb: Testbed) -> DataFrame:
 def _student_schedule(tb: Testbed) -> DataFrame:
     return extract.student_schedule(dict(terms=tb.terms, sessions=tb.sessions, section_term=tb.section_term,
                                          section_student=tb.section_student), tb.cfg)
+
+
+# ------------------------------------------------------------------ groups
+from rollcall.config import COHORT_GROUP, SCHOOL_GROUP  # noqa: E402
+from rollcall.plans import accounts as acc  # noqa: E402
+from rollcall.plans import groups as grp  # noqa: E402
+
+
+@query("section_groups_missing")
+def _q21(tb: Testbed) -> DataFrame:
+    return grp.section_groups_missing(tb.sections, tb.groups)
+
+
+@query("section_owners_missing")
+def _q22(tb: Testbed) -> DataFrame:
+    return grp.section_owners_missing(tb.sections, tb.groups, tb.accounts, tb.group_member)
+
+
+@query("section_members_missing")
+def _q23(tb: Testbed) -> DataFrame:
+    return grp.section_members_missing(tb.schedule, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("section_groups_renamed")
+def _q24(tb: Testbed) -> DataFrame:
+    return grp.section_groups_renamed(tb.sections, tb.groups)
+
+
+@query("stale_owners")
+def _q25(tb: Testbed) -> DataFrame:
+    return grp.stale_owners(tb.sections, tb.groups, tb.accounts, tb.group_member)
+
+
+@query("stale_members")
+def _q26(tb: Testbed) -> DataFrame:
+    return grp.stale_members(tb.schedule, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("school_members_missing")
+def _q27(tb: Testbed) -> DataFrame:
+    return grp.school_members_missing(tb.staff_stage, tb.groups, tb.accounts, tb.group_member)
+
+
+@query("cohort_groups_missing")
+def _q28(tb: Testbed) -> DataFrame:
+    return grp.cohort_groups_missing(tb.departments, tb.store_sites, tb.groups, tb.cfg)
+
+
+@query("stale_cohort_members")
+def _q29(tb: Testbed) -> DataFrame:
+    return grp.stale_cohort_members(tb.students_stage, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("cohort_members_missing")
+def _q30(tb: Testbed) -> DataFrame:
+    return grp.cohort_members_missing(tb.students_stage, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("course_groups_missing")
+def _q31(tb: Testbed) -> DataFrame:
+    return grp.course_groups_missing(tb.sections, tb.groups, tb.cfg)
+
+
+@query("course_members_missing")
+def _q32(tb: Testbed) -> DataFrame:
+    return grp.course_members_missing(tb.schedule, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("group_members_of")
+def _q36(tb: Testbed) -> DataFrame:
+    view = grp.member_view(tb.group_member, tb.groups, tb.accounts)
+    wanted = tb.groups.filter(F.col("group_type") == SCHOOL_GROUP)
+    return grp.group_members_of(view, wanted)
+
+
+@query("groups_by_type")
+def _q38(tb: Testbed) -> DataFrame:
+    return grp.groups_by_type(tb.groups, COHORT_GROUP)
+
+
+@query("all_groups")
+def _q39(tb: Testbed) -> DataFrame:
+    return grp.all_groups(tb.groups)
+
+
+# ---------------------------------------------------------------- accounts
+@query("new_accounts")
+def _q03(tb: Testbed) -> DataFrame:
+    return acc.new_accounts(tb.students_stage, tb.staff_stage, tb.accounts, tb.cfg)
+
+
+@query("new_staff_only")
+def _q04(tb: Testbed) -> DataFrame:
+    return acc.new_staff(tb.staff_stage, tb.accounts)
+
+
+@query("new_accounts_legacy")
+def _q13(tb: Testbed) -> DataFrame:
+    return acc.new_accounts(tb.students_stage, tb.staff_stage, tb.accounts, tb.cfg, legacy=True)
+
+
+@query("desired_staff")
+def _q08(tb: Testbed) -> DataFrame:
+    return acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
+
+
+@query("desired_students")
+def _q09(tb: Testbed) -> DataFrame:
+    return acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)
+
+
+@query("account_state")
+def _q17(tb: Testbed) -> DataFrame:
+    return acc.account_state(tb.accounts, tb.orgunit)
+
+
+@query("account_lookup")
+def _q15(tb: Testbed) -> DataFrame:
+    return acc.account_lookup(tb.students_stage, tb.staff_stage, tb.accounts)
+
+
+@query("account_patch")
+def _c3(tb: Testbed) -> DataFrame:
+    desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
+               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+    return acc.account_patch(desired, tb.accounts)

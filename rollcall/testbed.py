@@ -265,9 +265,7 @@ class Testbed:
             "CASE n_regionkey WHEN 0 THEN 5 WHEN 1 THEN 8 ELSE 12 END AS upper_unit")
 
     def _v_groups(self) -> DataFrame:
-        from rollcall.plans import extract
-        sec = extract.section_groups(self.section_sources(), self.cfg)
-        section = (sec.groupBy("section_id")
+        section = (self.sections.groupBy("section_id")
                    .agg(F.min("group_email").alias("email"), F.min("school_id").alias("school_id"))
                    .where("section_id % 4 <> 0")
                    .selectExpr(
@@ -332,6 +330,29 @@ class Testbed:
         return (pupils.unionByName(teachers).unionByName(staff).unionByName(cohort)
                 .withColumn("type", F.lit("USER")))
 
+    # -- stage tables and normalised current state --------------------
+    def _v_staff_stage(self) -> DataFrame:
+        from rollcall.plans import accounts, extract
+        return accounts.staff_stage(extract.staff_extract(self.sis_users))
+
+    def _v_students_stage(self) -> DataFrame:
+        from rollcall.plans import extract
+        return extract.student_extract(self.student_sources(), self.cfg)
+
+    def _v_accounts(self) -> DataFrame:
+        from rollcall.plans import accounts
+        return accounts.normalise_accounts(self.account)
+
+    def _v_sections(self) -> DataFrame:
+        from rollcall.plans import extract
+        return extract.section_groups(self.section_sources(), self.cfg)
+
+    def _v_schedule(self) -> DataFrame:
+        from rollcall.plans import extract
+        return extract.student_schedule(dict(terms=self.terms, sessions=self.sessions,
+                                             section_term=self.section_term,
+                                             section_student=self.section_student), self.cfg)
+
     # -- bundles for the plans ----------------------------------------
     def section_sources(self) -> dict[str, DataFrame]:
         return dict(section_teacher=self.section_teacher, section_term=self.section_term, terms=self.terms,
