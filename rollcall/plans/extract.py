@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rollcall.config import ELEMENTARY_GRADES, SECONDARY_GRADES, SECTION_GRADES, SyncConfig
 from rollcall.functions import codes, dates, text
-from rollcall.operators.ranking import annotate_groups, latest_per_key
+from rollcall.operators.ranking import latest_per_key
 
 
 # --------------------------------------------------------------------- Q01
@@ -126,50 +126,84 @@ def staff_extract_custom(users: DataFrame, custom: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- Q18
+def _first_key(cols) -> F.Column:
+    """Ascending sort key with NULLS LAST (min() of it is the first row)."""
+    return F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in cols])
+
+
+def _per_section(rows: DataFrame, key_cols, prefix: str) -> DataFrame:
+    """Row count and first sort key per section (partial aggregation)."""
+    return rows.groupBy("section_id").agg(F.count(F.lit(1)).alias(f"{prefix}_n"),
+                                          F.min(_first_key(key_cols)).alias(f"{prefix}_first"))
+
+
+def _keep_first(rows: DataFrame, stats: DataFrame, key_cols, prefix: str) -> DataFrame:
+    s = stats.select(F.col("section_id").alias(f"{prefix}_sec"), f"{prefix}_first")
+    j = rows.join(s, F.col("section_id") == F.col(f"{prefix}_sec"))
+    return j.filter(_first_key(key_cols) == F.col(f"{prefix}_first")).drop(f"{prefix}_sec", f"{prefix}_first")
+
+
 def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
     """Q18: one desired group per section with derived address, name and
     description.
 
-    W1 (row count per section after every join) and W2 (dense_rank = 1 over
-    surname, course, time block; ties kept) come from one aggregate per
-    section joined back, so a section with a huge fan-out is combined
-    map-side instead of sorted inside a single window task.
+    Every affiliation joins on the section, so the joined rows of a section
+    are the cross product of four per-section lists: primary teachers,
+    terms of the year at an included site, courses, time blocks.  Hence
+    W1 (``COUNT(*) OVER (PARTITION BY section)``) is the product of the four
+    list sizes, and W2 (``dense_rank() … = 1`` over surname, course, time
+    block; ties kept) keeps exactly the rows built from the first teacher
+    surname, first course name and first time-block name of each list.  Each
+    list is aggregated per section (map-side partial aggregation, so a hot
+    section is combined by many tasks) and only the rank-1 rows are joined —
+    the fan-out join of the reference is never materialised.
     """
     ses = src["sessions"].filter(F.col("academic_year") == cfg.academic_year)
     sch = src["sites"].filter(F.col("exclude_from_state_reporting") == F.lit(False))
     gl = src["grade_levels"].filter(F.col("short_name").isin(list(SECTION_GRADES)))
-    # Dimension chain first: terms of the year at included sites with a grade.
-    terms = (src["terms"].alias("tr")
-             .join(ses.alias("ses"), F.col("ses.session_id") == F.col("tr.session_id"))
-             .join(sch.alias("sch"), F.col("sch.site_id") == F.col("ses.site_id"))
-             .join(gl.alias("gl"), F.col("gl.grade_level_id") == F.col("sch.start_grade_level_id"))
-             .join(src["site_labels"].alias("sm"), F.col("sm.site_id") == F.col("sch.site_id"))
-             .select(F.col("tr.term_id"), F.col("tr.term_name"), F.col("sch.site_id"),
-                     F.col("sch.site_name"), F.col("gl.short_name").alias("grade"),
-                     F.col("sm.short_name").alias("site_short")))
-    st = src["section_teacher"].filter(F.col("primary_teacher") == F.lit(True))
-    j = (st.alias("st")
-         .join(src["section_term"].alias("sta"), F.col("sta.section_id") == F.col("st.section_id"))
-         .join(terms.alias("t"), F.col("t.term_id") == F.col("sta.term_id"))
-         .join(src["section_course"].alias("sca"), F.col("sca.section_id") == F.col("st.section_id"))
-         .join(src["courses"].alias("crs"), F.col("crs.course_id") == F.col("sca.course_id"))
-         .join(src["section_timeblock"].alias("stb"), F.col("stb.section_id") == F.col("st.section_id"))
-         .join(src["timeblocks"].alias("tb"), F.col("tb.timeblock_id") == F.col("stb.timeblock_id"))
-         .join(src["users"].alias("u"), F.col("u.user_id") == F.col("st.user_id"))
-         .select(F.col("st.section_id"), F.col("t.site_id"), F.col("t.site_name"), F.col("t.grade"),
-                 F.col("t.site_short"), F.col("t.term_name"), F.col("u.user_id"),
-                 F.col("u.last_name"), F.col("u.first_name"), F.col("crs.school_course_id"),
-                 F.col("crs.short_name").alias("course_name"), F.col("tb.timeblock_name")))
-    order_key = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v"))
-                           for c in ("last_name", "course_name", "timeblock_name")])
-    j = j.withColumn("__ord", order_key)
-    j = annotate_groups(j, ["section_id"], __cnt=F.count(F.lit(1)), __first=F.min("__ord"))
-    ranked = j.filter(F.col("__ord") == F.col("__first"))
+    # Terms of the year at included sites with a section grade (small dimension chain).
+    term_dim = (src["terms"].alias("tr")
+                .join(ses.alias("ses"), F.col("ses.session_id") == F.col("tr.session_id"))
+                .join(sch.alias("sch"), F.col("sch.site_id") == F.col("ses.site_id"))
+                .join(gl.alias("gl"), F.col("gl.grade_level_id") == F.col("sch.start_grade_level_id"))
+                .join(src["site_labels"].alias("sm"), F.col("sm.site_id") == F.col("sch.site_id"))
+                .select(F.col("tr.term_id").alias("t_term"), F.col("tr.term_name"), F.col("sch.site_id"),
+                        F.col("sch.site_name"), F.col("gl.short_name").alias("grade"),
+                        F.col("sm.short_name").alias("site_short")))
+    terms = (src["section_term"].join(term_dim, F.col("term_id") == F.col("t_term"))
+             .select("section_id", "term_name", "site_id", "site_name", "grade", "site_short"))
+    teachers = (src["section_teacher"].filter(F.col("primary_teacher") == F.lit(True))
+                .join(src["users"].select(F.col("user_id").alias("u_id"), "last_name", "first_name"),
+                      F.col("user_id") == F.col("u_id"))
+                .select("section_id", "user_id", "last_name", "first_name"))
+    courses = (src["section_course"]
+               .join(src["courses"].select(F.col("course_id").alias("c_id"), "school_course_id",
+                                           F.col("short_name").alias("course_name")),
+                     F.col("course_id") == F.col("c_id"))
+               .select("section_id", "school_course_id", "course_name"))
+    blocks = (src["section_timeblock"]
+              .join(src["timeblocks"].select(F.col("timeblock_id").alias("b_id"), "timeblock_name"),
+                    F.col("timeblock_id") == F.col("b_id"))
+              .select("section_id", "timeblock_name"))
+
+    t_stats = terms.groupBy("section_id").agg(F.count(F.lit(1)).alias("t_n"))
+    u_stats = _per_section(teachers, ["last_name"], "u")
+    c_stats = _per_section(courses, ["course_name"], "c")
+    b_stats = _per_section(blocks, ["timeblock_name"], "b")
+    stats = (t_stats.join(u_stats, "section_id").join(c_stats, "section_id").join(b_stats, "section_id")
+             .select("section_id", (F.col("t_n") * F.col("u_n") * F.col("c_n") * F.col("b_n")).alias("n_rows"),
+                     "u_first", "c_first", "b_first"))
+    first_teachers = _keep_first(teachers, stats, ["last_name"], "u")
+    first_courses = _keep_first(courses, stats, ["course_name"], "c")
+    first_blocks = _keep_first(blocks, stats, ["timeblock_name"], "b")
+    ranked = (stats.select("section_id", "n_rows")
+              .join(first_teachers, "section_id").join(terms, "section_id")
+              .join(first_courses, "section_id").join(first_blocks, "section_id"))
 
     period = text.period_name("timeblock_name")
     secondary = F.col("grade").isin(list(SECONDARY_GRADES))
     elementary = F.col("grade").isin(list(ELEMENTARY_GRADES))
-    whole_year = F.col("__cnt") > 1
+    whole_year = F.col("n_rows") > 1
     term2 = F.substring("term_name", 1, 2)
     surname = text.clean_surname("last_name")
     first_i = text.initial("first_name")

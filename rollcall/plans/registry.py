@@ -171,3 +171,18 @@ def _c3(tb: Testbed) -> DataFrame:
     desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
                .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
     return acc.account_patch(desired, tb.accounts)
+
+
+# -------------------------------------------------------------------- jobs
+from rollcall.operators.batches import batch_summary  # noqa: E402
+from rollcall.plans import jobs  # noqa: E402
+
+
+@query("section_groups_outbox")
+def _c6(tb: Testbed) -> DataFrame:
+    return jobs.section_group_sync(tb.sections, tb.schedule, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("outbox_batches")
+def _k12(tb: Testbed) -> DataFrame:
+    return batch_summary(_c6(tb))

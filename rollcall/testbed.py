@@ -95,12 +95,11 @@ class Testbed:
             " ELSE concat('web', CAST(c_custkey AS STRING), '@example.org') END AS email")
 
     def _v_enrol(self) -> DataFrame:
-        o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-        c = self.raw("customer").select("c_custkey", "c_nationkey")
-        return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        # A student's school is o_custkey % 25 (a nation id), stable across years.
+        return self.raw("orders").selectExpr(
             "o_orderkey AS enrol_id",
             "o_custkey AS student_id",
-            "CAST(c_nationkey AS BIGINT) * 10000 + year(o_orderdate) AS session_id",
+            "(o_custkey % 25) * 10000 + year(o_orderdate) AS session_id",
             "CAST((o_custkey + year(o_orderdate)) % 16 AS INT) AS grade_level_id",
             "o_orderstatus <> 'P' AS is_primary",
             "CAST(o_orderdate AS DATE) AS entry_date",
@@ -121,7 +120,7 @@ class Testbed:
     def _v_student_house(self) -> DataFrame:
         return self.raw("customer").where("c_custkey % 5 <> 0").selectExpr(
             "c_custkey AS student_id",
-            "CAST(c_nationkey AS BIGINT) * 10000 + 2001 AS session_id",
+            "(c_custkey % 25) * 10000 + 2001 AS session_id",
             "concat('House ', CAST(c_custkey % 4 AS STRING)) AS house_name")
 
     def _v_portal_students(self) -> DataFrame:
@@ -164,7 +163,7 @@ class Testbed:
             "l_partkey AS section_id", f"{self._term_cols()} AS term_id").distinct()
 
     def _v_terms(self) -> DataFrame:
-        t = self.section_term.select("term_id").distinct()
+        t = self.raw("lineitem").selectExpr(f"{self._term_cols()} AS term_id").distinct()
         return t.selectExpr(
             "term_id",
             "(term_id DIV 100000) * 10000 + (term_id % 100000) DIV 10 AS session_id",

@@ -41,12 +41,12 @@ VIEWS: dict[str, str] = {
         CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE 'web' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS email
         FROM customer""",
     "enrol": """SELECT o_orderkey AS enrol_id, o_custkey AS student_id,
-        CAST(c_nationkey AS BIGINT) * 10000 + year(o_orderdate) AS session_id,
+        (o_custkey % 25) * 10000 + year(o_orderdate) AS session_id,
         CAST((o_custkey + year(o_orderdate)) % 16 AS INTEGER) AS grade_level_id,
         o_orderstatus <> 'P' AS is_primary,
         CAST(o_orderdate AS DATE) AS entry_date,
         CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS DATE) AS leave_date
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
+        FROM orders""",
     "section_term": f"""SELECT DISTINCT l_partkey AS section_id, {_TERM} AS term_id FROM lineitem""",
     "terms": """SELECT term_id,
         (term_id // 100000) * 10000 + (term_id % 100000) // 10 AS session_id,
@@ -55,7 +55,7 @@ VIEWS: dict[str, str] = {
              ELSE make_date(CAST((term_id % 100000) // 10 AS INTEGER), 1, 1) END AS start_date,
         CASE WHEN term_id % 10 = 1 THEN make_date(CAST((term_id % 100000) // 10 AS INTEGER), 12, 31)
              ELSE make_date(CAST((term_id % 100000) // 10 AS INTEGER), 6, 30) END AS end_date
-        FROM (SELECT DISTINCT term_id FROM section_term)""",
+        FROM (SELECT DISTINCT """ + _TERM + """ AS term_id FROM lineitem)""",
     "sessions": """SELECT session_id, CAST(session_id // 10000 AS INTEGER) AS site_id,
         CAST(session_id % 10000 AS INTEGER) AS academic_year
         FROM (SELECT session_id FROM enrol UNION SELECT session_id FROM terms)""",
@@ -63,7 +63,7 @@ VIEWS: dict[str, str] = {
         CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey % 9 = 0 END AS email_suspend,
         CASE WHEN c_custkey % 8 = 0 THEN 'alt.' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS override_email
         FROM customer WHERE c_custkey % 50 <> 49""",
-    "student_house": """SELECT c_custkey AS student_id, CAST(c_nationkey AS BIGINT) * 10000 + 2001 AS session_id,
+    "student_house": """SELECT c_custkey AS student_id, (c_custkey % 25) * 10000 + 2001 AS session_id,
         'House ' || CAST(c_custkey % 4 AS VARCHAR) AS house_name FROM customer WHERE c_custkey % 5 <> 0""",
     "portal_students": "SELECT c_custkey AS student_id FROM customer WHERE c_custkey % 4 = 0",
     "sis_users": f"""SELECT s_suppkey AS user_id,
