@@ -38,10 +38,12 @@ def parse_iso_timestamp(c, missing_as_epoch: bool = True) -> Column:
     which callers test with :func:`iso_unparsable` to quarantine the row.
     """
     col = _c(c)
+    # The layouts end in a literal 'Z' (UTC); with the session in UTC the wall
+    # clock is kept as a zone-less timestamp.
     parsed = F.coalesce(F.try_to_timestamp(col, F.lit(ISO_WITH_FRACTION)),
-                        F.try_to_timestamp(col, F.lit(ISO_PLAIN)))
+                        F.try_to_timestamp(col, F.lit(ISO_PLAIN))).cast("timestamp_ntz")
     if missing_as_epoch:
-        return F.when(col.isNull(), F.to_timestamp(F.lit(EPOCH))).otherwise(parsed)
+        return F.when(col.isNull(), F.lit(EPOCH).cast("timestamp_ntz")).otherwise(parsed)
     return parsed
 
 

@@ -32,6 +32,23 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: a reliable checkpoint in the shared folder named by
+    ``spark.checkpoint.dir`` (set by the cluster; tests set a scratch one).
+    Used where one intermediate feeds two branches, so it is computed once
+    and a lost executor recomputes from the checkpoint, not from the source."""
+    from rollcall.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _by(group_cols: Sequence[str]):
+    # An empty group list numbers the whole input; the window then spans only
+    # the per-partition totals (one row per partition).
+    return Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+
+
 def join_back(df: DataFrame, stats: DataFrame, group_cols: Sequence[str], how: str = "inner") -> DataFrame:
     """Join per-group values back onto the rows (NULL group keys match)."""
     s = stats.select(*[F.col(c).alias(f"__g_{c}") for c in group_cols],
@@ -86,13 +103,13 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in (*group_cols, *order_cols)]
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .withColumn("__pid", F.shiftright(F.col("__mid"), 33)))
+    ranged = materialize(df.repartitionByRange(n, *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn("__mid", F.monotonically_increasing_id())
+                         .withColumn("__pid", F.shiftright(F.col("__mid"), 33)))
     stats = ranged.groupBy(*group_cols, "__pid").agg(F.min("__mid").alias("__first"),
                                                      F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = _by(group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     joined = join_back(ranged, stats, [*group_cols, "__pid"])
     return (joined.withColumn(out, F.col("__offset") + F.col("__mid") - F.col("__first") + F.lit(1))
@@ -111,13 +128,13 @@ def cumulative_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in (*group_cols, *order_cols)]
-    ranged = (df.withColumn("__val", value).repartitionByRange(n, *keys)
-              .withColumn("__pid", F.spark_partition_id()))
+    ranged = materialize(df.withColumn("__val", value).repartitionByRange(n, *keys)
+                         .withColumn("__pid", F.spark_partition_id()))
     local_w = (Window.partitionBy(*group_cols, "__pid").orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     totals = ranged.groupBy(*group_cols, "__pid").agg(F.sum("__val").alias("__tot"))
     ranged = ranged.withColumn("__local", F.sum("__val").over(local_w))
-    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = _by(group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("__offset", F.coalesce(F.sum("__tot").over(before), F.lit(0))).drop("__tot")
     joined = join_back(ranged, totals, [*group_cols, "__pid"])
     return (joined.withColumn(out, F.col("__offset") + F.col("__local"))

@@ -91,17 +91,29 @@ def section_owners_missing(sections: DataFrame, groups: DataFrame, accounts: Dat
 
 
 # ------------------------------------------------------------- Q23 / Q32
-def _schedule_members_missing(schedule: DataFrame, groups: DataFrame, accounts: DataFrame,
-                              members: DataFrame, group_type: str, cfg: SyncConfig) -> DataFrame:
+def _schedule_members(schedule: DataFrame, groups: DataFrame, accounts: DataFrame, group_type: str,
+                      cfg: SyncConfig) -> DataFrame:
+    """(group, student account) pairs the schedule asks for on as_of."""
     sched = (schedule.filter(dates.active_on(cfg.as_of, "dateenrolled", "dateleft"))
              .select("sectionid", "studentid"))
     g = groups_of_type(groups, group_type).select("google_groupid", "group_email", "ua_num")
     # A member row needs a directory id; accounts without one go to rejects.
     bu = (accounts_of_type(accounts, "student").filter(F.col("google_id").isNotNull())
           .select("external_uid", "google_id", "given_name"))
-    cand = (sched.join(g, sched["sectionid"] == g["ua_num"])
+    return (sched.join(g, sched["sectionid"] == g["ua_num"])
             .join(bu, sched["studentid"] == bu["external_uid"])
             .select("google_groupid", "google_id", "group_email", "given_name", "external_uid"))
+
+
+def section_members_desired(schedule, groups, accounts, cfg: SyncConfig) -> DataFrame:
+    """Every MEMBER row the section groups should have (for a full refresh, K8)."""
+    return (_schedule_members(schedule, groups, accounts, SECTION_GROUP, cfg)
+            .select("google_groupid", "google_id", F.lit(ROLE_MEMBER).alias("role")).distinct())
+
+
+def _schedule_members_missing(schedule: DataFrame, groups: DataFrame, accounts: DataFrame,
+                              members: DataFrame, group_type: str, cfg: SyncConfig) -> DataFrame:
+    cand = _schedule_members(schedule, groups, accounts, group_type, cfg)
     return (_missing_members(cand, members)
             .select("google_groupid", "google_id", F.lit(ROLE_MEMBER).alias("role"), "group_email",
                     "given_name", "external_uid")

@@ -186,3 +186,241 @@ def _c6(tb: Testbed) -> DataFrame:
 @query("outbox_batches")
 def _k12(tb: Testbed) -> DataFrame:
     return batch_summary(_c6(tb))
+
+
+# ------------------------------------------------------ nested and sources
+from rollcall.operators import apply as ap  # noqa: E402
+from rollcall.operators import nested, responses  # noqa: E402
+from rollcall.operators.ranking import last_wins  # noqa: E402
+from rollcall.operators.usernames import allocate_usernames  # noqa: E402
+from rollcall.plans import extras  # noqa: E402
+from rollcall.schemas import GROUP_RECORD, USER_FIELD_TO_COLUMN, USER_PAGE  # noqa: E402
+from rollcall.sinks.export import device_table  # noqa: E402
+from rollcall.sources import readers  # noqa: E402
+
+
+def _resources(tb: Testbed) -> DataFrame:
+    users = readers.flatten_pages(tb.user_pages, "users", USER_PAGE)
+    return nested.flatten_user_resources(users.select(F.struct("*").alias("u")), USER_FIELD_TO_COLUMN)
+
+
+@query("resource_flatten")
+def _c4(tb: Testbed) -> DataFrame:
+    return _resources(tb)
+
+
+@query("apply_upsert")
+def _k3(tb: Testbed) -> DataFrame:
+    r = _resources(tb).filter(F.col("google_id").isNotNull()).select(
+        "google_id", "primary_email", "given_name", "family_name", "suspended", "ou_path", "change_password",
+        "global_addressbook", "user_type", "external_uid")
+    return ap.upsert(tb.accounts, r, ["google_id"])
+
+
+@query("apply_update")
+def _k4(tb: Testbed) -> DataFrame:
+    desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
+               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+    diff = acc.account_patch(desired, tb.accounts)
+    per_id = (diff.groupBy("id", "field").agg(F.max("new_value").alias("new_value"))
+              .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("field", "new_value"))).alias("m")))
+    types = dict(tb.accounts.dtypes)
+    changes = per_id.select("id", *[F.col("m")[f].cast(types[f]).alias(f) for f in acc.ACCOUNT_FIELDS],
+                            F.map_keys("m").alias("supplied"))
+    return ap.update(tb.accounts, changes, ["id"], supplied_col="supplied")
+
+
+@query("apply_delete")
+def _k7(tb: Testbed) -> DataFrame:
+    doomed = grp.stale_members(tb.schedule, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+    return ap.delete(tb.group_member, doomed, ["google_groupid", "google_userid"])
+
+
+@query("partition_replace")
+def _k8(tb: Testbed) -> DataFrame:
+    fresh = (grp.section_members_desired(tb.schedule, tb.groups, tb.accounts, tb.cfg)
+             .select("google_groupid", F.col("google_id").alias("google_userid"), "role",
+                     F.lit("USER").alias("type")))
+    return ap.replace_partitions(tb.group_member, fresh, ["google_groupid"])
+
+
+@query("load_by_position")
+def _k1(tb: Testbed) -> DataFrame:
+    return tb.staff_stage
+
+
+@query("load_by_name")
+def _k2(tb: Testbed) -> DataFrame:
+    return ap.load_by_name(tb.schedule, ["studentid", "sectionid", "termid", "schoolid", "dateenrolled",
+                                         "dateleft", "ps_id"])
+
+
+@query("uid_linking")
+def _c5(tb: Testbed) -> DataFrame:
+    lookup = readers.read_uid_lookup(tb.spark, tb.uid_lookup_path())
+    res = _resources(tb).select("google_id", "primary_email")
+    linked = res.join(lookup, F.col("primary_email") == F.col("email"))
+    fresh = linked.join(tb.accounts.select(F.col("primary_email").alias("a_email")),
+                        F.col("primary_email") == F.col("a_email"), "left_anti")
+    return fresh.select("google_id", "primary_email", F.col("uid").alias("new_external_uid"), "user_type",
+                        nested.external_ids_payload(F.lit("organization"), F.col("uid"),
+                                                    F.col("user_type")).alias("payload"))
+
+
+@query("external_id_patch")
+def _c11(tb: Testbed) -> DataFrame:
+    rows = readers.read_external_ids(tb.spark, tb.external_ids_path())
+    return rows.select("user_key", nested.external_ids_payload("id_type", "id_value").alias("payload"))
+
+
+def _devices(tb: Testbed) -> DataFrame:
+    return readers.device_listing(tb.device_pages)
+
+
+@query("device_export")
+def _k11(tb: Testbed) -> DataFrame:
+    return device_table(_devices(tb))
+
+
+@query("device_patch")
+def _c9(tb: Testbed) -> DataFrame:
+    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"]).withColumnRenamed(
+        "serialNumber", "d_serial")
+    upd = tb.device_updates()
+    j = upd.join(ids, F.col("serialNumber") == F.col("d_serial"), "left")
+    patch = nested.sparse_patch({c: F.col(c) for c in ("annotatedUser", "annotatedAssetId", "annotatedLocation",
+                                                        "orgUnitPath", "notes")})
+    return j.select("serialNumber", "deviceId", patch.alias("patch"))
+
+
+@query("response_apply")
+def _j15(tb: Testbed) -> DataFrame:
+    return responses.route_group_responses(tb.group_requests, tb.group_responses, tb.groups)
+
+
+@query("record_validation")
+def _n10(tb: Testbed) -> DataFrame:
+    _, bad = nested.split_valid(tb.groups, GROUP_RECORD)
+    return bad.select("google_groupid", F.array_join("violations", ", ").alias("violations"))
+
+
+@query("schema_projection")
+def _n5(tb: Testbed) -> DataFrame:
+    props = tb.groups.select(F.col("group_name").alias("name"), F.col("group_email").alias("email"),
+                             F.col("google_groupid").alias("id"), "description", "etag")
+    return nested.schema_projection(props.withColumn("google_groupid", F.col("id")), GROUP_RECORD, "api",
+                                    keep=["google_groupid"])
+
+
+@query("map_invert")
+def _n9(tb: Testbed) -> DataFrame:
+    c = tb.raw("customer").select("c_custkey", F.create_map(
+        F.lit("segment"), F.col("c_mktsegment"), F.lit("name"), F.col("c_name"),
+        F.lit("nation"), F.col("c_nationkey").cast("string")).alias("m"))
+    inv = c.select("c_custkey", nested.invert_map("m").alias("inv"))
+    return inv.select("c_custkey", F.explode("inv").alias("value", "key"))
+
+
+@query("last_wins_lookup")
+def _a4(tb: Testbed) -> DataFrame:
+    ev = tb.raw("events").select("user_id", "event_id", "event_type", "value")
+    last = last_wins(ev, ["user_id"], "event_id")
+    acct = tb.accounts.filter(F.col("user_type") == "student").select("external_uid", "primary_email")
+    return last.join(acct, F.col("user_id") == F.col("external_uid")).select(
+        "user_id", "event_id", "event_type", "value", "primary_email")
+
+
+@query("domain_user_type")
+def _j12(tb: Testbed) -> DataFrame:
+    from rollcall.functions import codes, text
+    p = tb.raw("pages").select("page_id", F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("host"))
+    addr = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("user"), F.col("page_id").cast("string"))) \
+        .otherwise(F.concat(F.lit("user"), F.col("page_id").cast("string"), F.lit("@"), F.col("host")))
+    p = p.withColumn("address", text.with_default_domain(addr, tb.cfg.staff_domain))
+    dom = text.domain_part("address")
+    suffix = F.regexp_extract(dom, r"([^.]+\.[^.]+)$", 1)
+    return p.select("page_id", "address", dom.alias("domain"),
+                    codes.map_lookup({"example.com": "staff", "example.org": "student"}, suffix).alias("user_type"))
+
+
+@query("custom_field_pivot")
+def _x1(tb: Testbed) -> DataFrame:
+    cf = extract.custom_field_pivot(tb.custom_field_values, "staff", ["click", "error", "purchase", "signup", "view"])
+    return extract.staff_extract_custom(tb.sis_users, cf)
+
+
+@query("schedule_term_range")
+def _q20(tb: Testbed) -> DataFrame:
+    return extract.schedule_by_term_range(tb.section_student, tb.section_term, 20011, 20012)
+
+
+@query("email_writeback")
+def _q33(tb: Testbed) -> DataFrame:
+    return extras.email_writeback(tb.students_stage, tb.accounts)
+
+
+@query("portal_missing")
+def _q34(tb: Testbed) -> DataFrame:
+    return extras.portal_missing(dict(enrol=tb.enrol, grade_levels=tb.grade_levels, sites=tb.sis_sites,
+                                      students=tb.sis_students, sessions=tb.sessions, portal=tb.portal_students),
+                                 tb.cfg)
+
+
+@query("portal_export")
+def _q35(tb: Testbed) -> DataFrame:
+    return extras.portal_export(tb.accounts, tb.students_stage)
+
+
+@query("account_listing")
+def _q37(tb: Testbed) -> DataFrame:
+    return extras.account_listing(tb.accounts, "student")
+
+
+@query("account_sample")
+def _o3(tb: Testbed) -> DataFrame:
+    return extras.account_sample(tb.accounts, 50, seed=7, user_type="student")
+
+
+@query("ou_path")
+def _q40(tb: Testbed) -> DataFrame:
+    people = tb.students_stage.select("external_uid", "schoolid", "grade_level")
+    return extras.ou_paths(people, tb.orgunit, "schoolid", "grade_level", "student")
+
+
+@query("numbered_units")
+def _s7(tb: Testbed) -> DataFrame:
+    schools = tb.staff_stage.select(F.col("schoolid")).distinct()
+    return readers.numbered_names(schools, F.concat(F.lit("cart-s"), F.col("schoolid")), 2, 27).select(
+        "schoolid", "n", "name")
+
+
+# ------------------------------------------------------------- usernames
+def _part_existing(tb: Testbed) -> DataFrame:
+    from rollcall.functions.text import sanitize_username
+    return tb.raw("part").where("p_partkey % 7 = 0").select(
+        F.expr("CASE WHEN p_size % 2 = 0 THEN 'example.org' ELSE 'students.example.org' END").alias("domain"),
+        F.concat(sanitize_username("p_name"),
+                 F.expr("CASE WHEN p_partkey % 21 = 0 THEN '' ELSE CAST(p_partkey % 50 AS STRING) END")).alias("name"))
+
+
+def _part_candidates(tb: Testbed) -> DataFrame:
+    return tb.raw("part").where("p_partkey % 7 <> 0").selectExpr(
+        "p_partkey",
+        "CASE WHEN p_size % 2 = 0 THEN 'example.org' ELSE 'students.example.org' END AS domain",
+        "split_part(p_name, ' ', 1) AS given_name",
+        "split_part(p_name, ' ', 2) AS family_name",
+        "CASE WHEN p_partkey % 3 = 0 THEN p_type END AS middle_name",
+        "CASE WHEN p_partkey % 41 = 0 THEN concat('Over.', split_part(p_name, ' ', 2), '@old.example.org') END"
+        " AS override")
+
+
+@query("username_allocate")
+def _c2(tb: Testbed) -> DataFrame:
+    out = allocate_usernames(_part_candidates(tb), _part_existing(tb), ["p_partkey"])
+    return out.select("p_partkey", "domain", "username", "reject_reason")
+
+
+@query("provision_outbox")
+def _c1(tb: Testbed) -> DataFrame:
+    from rollcall.plans import provisioning
+    return provisioning.provision(tb.students_stage, tb.staff_stage, tb.accounts, tb.orgunit, tb.cfg)

@@ -12,12 +12,21 @@ enrolments = orders, sections = parts, section rosters = line items).
 
 from __future__ import annotations
 
+import hashlib
+import os
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rollcall.config import SyncConfig
+from rollcall.session import ensure_checkpoint_dir
+
+# Derived files are keyed by this file's content, so a rule change never
+# reads a stale copy.
+_VERSION = hashlib.sha1(open(__file__, "rb").read()).hexdigest()[:12]
 
 AS_OF = date(2001, 6, 1)
 ACADEMIC_YEAR = 2001
@@ -72,7 +81,7 @@ class Testbed:
     def _v_site_labels(self) -> DataFrame:
         return self.raw("nation").selectExpr(
             "n_nationkey AS site_id",
-            "CASE WHEN n_nationkey = 24 THEN NULL ELSE concat('S', lpad(CAST(n_nationkey AS STRING), 2, '0')) END"
+            "CASE WHEN n_nationkey = 23 THEN NULL ELSE concat('S', lpad(CAST(n_nationkey AS STRING), 2, '0')) END"
             " AS short_name")
 
     def _v_grade_levels(self) -> DataFrame:
@@ -302,7 +311,8 @@ class Testbed:
             "CAST(p_partkey % 25 AS INT) AS department_id",
             "'Courses' AS group_type",
             "CAST(p_partkey AS STRING) AS unique_attribute")
-        return section.unionByName(school).unionByName(cohort).unionByName(course)
+        return (section.unionByName(school).unionByName(cohort).unionByName(course)
+                .withColumn("etag", F.concat(F.lit("et-"), F.col("google_groupid"))))
 
     def _v_group_member(self) -> DataFrame:
         li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
@@ -352,6 +362,139 @@ class Testbed:
                                              section_term=self.section_term,
                                              section_student=self.section_student), self.cfg)
 
+    # -- directory listings, files and responses ----------------------
+    def _files_dir(self) -> str:
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        return f"{base}/rollcall-files/{_VERSION}/{os.path.basename(self.sf_dir)}"
+
+    def landed(self, name: str, build, schema: StructType, fmt: str = "csv", header: bool = False) -> DataFrame:
+        """A file derived from the driver tables, written once to the shared
+        checkpoint folder and read back with a declared schema."""
+        path = f"{self._files_dir()}/{name}"
+        reader = self.spark.read.schema(schema).option("header", header)
+        try:
+            return reader.format(fmt).load(path)
+        except AnalysisException:
+            build().write.mode("overwrite").option("header", header).format(fmt).save(path)
+            return reader.format(fmt).load(path)
+
+    def _resource_struct(self):
+        return F.expr("""named_struct(
+            'id', concat('gu', CAST(c_custkey AS STRING)),
+            'primaryEmail', concat(lower(c_mktsegment), '.cust', CAST(c_custkey AS STRING), '@students.example.org'),
+            'name', named_struct('givenName', concat(upper(substr(c_mktsegment, 1, 1)), lower(substr(c_mktsegment, 2))),
+                                 'familyName', concat('Cust', CAST(c_custkey AS STRING))),
+            'suspended', c_custkey % 23 = 0,
+            'orgUnitPath', concat('/Students/', CAST(c_custkey % 25 AS STRING), '/', CAST(c_custkey % 15 - 2 AS STRING)),
+            'changePasswordAtNextLogin', c_custkey % 2 = 0,
+            'includeInGlobalAddressList', true,
+            'creationTime', concat(CAST(date_add(DATE'2000-01-01', CAST(c_custkey % 3000 AS INT)) AS STRING),
+                                   'T08:30:00', CASE WHEN c_custkey % 2 = 0 THEN '.000' ELSE '' END, 'Z'),
+            'lastLoginTime', CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'never'
+                                  ELSE concat(CAST(date_add(DATE'2001-01-01', CAST(c_custkey % 150 AS INT)) AS STRING),
+                                              'T12:00:00Z') END,
+            'etag', concat('e', CAST(c_custkey AS STRING)),
+            'externalIds', CASE WHEN c_custkey % 10 = 0
+                                THEN CAST(array() AS ARRAY<STRUCT<type: STRING, customType: STRING, value: STRING>>)
+                                WHEN c_custkey % 3 = 0
+                                THEN array(named_struct('type', 'custom', 'customType', 'other',
+                                                        'value', concat('x', CAST(c_custkey AS STRING))),
+                                           named_struct('type', 'organization', 'customType', 'student',
+                                                        'value', CAST(c_custkey AS STRING)))
+                                ELSE array(named_struct('type', 'organization', 'customType', 'student',
+                                                        'value', CAST(c_custkey AS STRING))) END)""")
+
+    def _v_user_pages(self) -> DataFrame:
+        """Directory user listing as page documents of 100 users (JSON text)."""
+        c = self.raw("customer").select(F.expr("c_custkey DIV 100").alias("page_no"),
+                                        self._resource_struct().alias("u"))
+        pages = c.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct(F.col("u.id").alias("k"), "u")))
+                                         .alias("items"))
+        return pages.select("page_no", F.to_json(F.struct(
+            F.transform("items", lambda x: x["u"]).alias("users"),
+            F.concat(F.lit("p"), (F.col("page_no") + 1).cast("string")).alias("nextPageToken"))).alias("page"))
+
+    def _device_struct(self):
+        return F.expr("""named_struct(
+            'serialNumber', concat('SN', lpad(CAST(p_partkey AS STRING), 6, '0')),
+            'deviceId', concat('dev-', CAST(p_partkey AS STRING)),
+            'macAddress', concat('aa:', CAST(p_partkey AS STRING)),
+            'annotatedAssetId', concat('A', CAST(p_partkey AS STRING)),
+            'annotatedLocation', concat('Room ', CAST(p_partkey % 40 AS STRING)),
+            'annotatedUser', CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE concat('u', CAST(p_partkey AS STRING)) END,
+            'notes', CAST(NULL AS STRING),
+            'orgUnitPath', concat('/Devices/', CAST(p_partkey % 25 AS STRING)),
+            'model', p_brand,
+            'platformVersion', concat('1.', CAST(p_partkey % 9 AS STRING)),
+            'lastSync', CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN 'bad'
+                             ELSE concat(CAST(date_add(DATE'2001-01-01', CAST(p_partkey % 200 AS INT)) AS STRING),
+                                         'T10:00:00.000Z') END,
+            'status', CASE WHEN p_partkey % 17 = 0 THEN 'DISABLED' ELSE 'ACTIVE' END)""")
+
+    def _v_device_pages(self) -> DataFrame:
+        d = self.raw("part").select(F.expr("p_partkey DIV 100").alias("page_no"), self._device_struct().alias("d"))
+        pages = d.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct(F.col("d.serialNumber").alias("k"),
+                                                                              "d"))).alias("items"))
+        return pages.select("page_no", F.to_json(F.struct(
+            F.transform("items", lambda x: x["d"]).alias("chromeosdevices"))).alias("page"))
+
+    def device_updates(self) -> DataFrame:
+        from rollcall.schemas import DEVICE_UPDATE_CSV
+        build = lambda: self.raw("part").where("p_partkey % 3 = 0").selectExpr(
+            "CASE WHEN p_partkey % 50 = 0 THEN concat('SNX', CAST(p_partkey AS STRING))"
+            " ELSE concat('SN', lpad(CAST(p_partkey AS STRING), 6, '0')) END AS serialNumber",
+            "CASE WHEN p_partkey % 2 = 0 THEN concat('user', CAST(p_partkey AS STRING)) ELSE '' END AS annotatedUser",
+            "CASE WHEN p_partkey % 4 = 0 THEN concat('asset', CAST(p_partkey AS STRING)) ELSE '' END"
+            " AS annotatedAssetId",
+            "CASE WHEN p_partkey % 5 = 0 THEN concat('Lab ', CAST(p_partkey % 7 AS STRING)) ELSE '' END"
+            " AS annotatedLocation",
+            "'' AS orgUnitPath",
+            "CASE WHEN p_partkey % 7 = 0 THEN concat('note ', CAST(p_partkey AS STRING)) ELSE '' END AS notes")
+        return self.landed("device_updates_csv", build, DEVICE_UPDATE_CSV, header=True)
+
+    def uid_lookup_path(self) -> str:
+        from rollcall.schemas import UID_LOOKUP_CSV
+        email = "concat(lower(c_mktsegment), '.cust', CAST(c_custkey AS STRING), '@students.example.org')"
+        build = lambda: (self.raw("customer").where("c_custkey % 4 <> 3")
+                         .selectExpr("c_custkey", "explode(CASE WHEN c_custkey % 9 = 0 THEN array(1, 2)"
+                                     " ELSE array(1) END) AS seq", f"{email} AS email")
+                         .orderBy("c_custkey", "seq")
+                         .selectExpr("'student' AS user_type", "'' AS c1", "'' AS c2", "email",
+                                     "concat(CASE WHEN seq = 2 THEN 'M' ELSE 'N' END, CAST(c_custkey AS STRING))"
+                                     " AS uid"))
+        self.landed("uid_lookup_csv", build, UID_LOOKUP_CSV)
+        return f"{self._files_dir()}/uid_lookup_csv"
+
+    def external_ids_path(self) -> str:
+        from rollcall.schemas import EXTERNAL_ID_CSV
+        build = lambda: self.raw("customer").where("c_custkey % 3 = 0").selectExpr(
+            "'' AS c0",
+            "concat(lower(c_mktsegment), '.cust', CAST(c_custkey AS STRING), '@students.example.org') AS user_key",
+            "'organization' AS id_type", "concat('X', CAST(c_custkey AS STRING)) AS id_value")
+        self.landed("external_ids_csv", build, EXTERNAL_ID_CSV)
+        return f"{self._files_dir()}/external_ids_csv"
+
+    def _v_group_requests(self) -> DataFrame:
+        o = self.raw("orders").select("o_orderkey")
+        n = self.raw("nation").select("n_nationkey", "n_name")
+        return o.join(n, F.expr("o_orderkey % 25") == F.col("n_nationkey")).selectExpr(
+            "concat('insert_group:', CAST(o_orderkey AS STRING)) AS request_id",
+            "CASE WHEN o_orderkey % 10 = 0 THEN concat('staff-', lower(n_name), '@groups.example.org')"
+            " ELSE concat('grp', CAST(o_orderkey AS STRING), '@groups.example.org') END AS email",
+            "concat('Group ', CAST(o_orderkey AS STRING)) AS name",
+            "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE concat('Desc ', CAST(o_orderkey AS STRING)) END"
+            " AS description")
+
+    def _v_group_responses(self) -> DataFrame:
+        return self.raw("orders").where("o_orderkey % 7 <> 6").selectExpr(
+            "concat('insert_group:', CAST(o_orderkey AS STRING)) AS request_id",
+            "CAST(CASE o_orderkey % 10 WHEN 0 THEN 409 WHEN 1 THEN 500 ELSE 200 END AS INT) AS status",
+            "CASE WHEN o_orderkey % 10 IN (0, 1) THEN NULL ELSE named_struct("
+            "'id', concat('new-', CAST(o_orderkey AS STRING)),"
+            " 'email', CASE WHEN o_orderkey % 3 = 0 THEN NULL"
+            " ELSE concat('grp', CAST(o_orderkey AS STRING), '@groups.example.org') END,"
+            " 'name', CAST(NULL AS STRING), 'etag', concat('et', CAST(o_orderkey AS STRING))) END AS body")
+
     # -- bundles for the plans ----------------------------------------
     def section_sources(self) -> dict[str, DataFrame]:
         return dict(section_teacher=self.section_teacher, section_term=self.section_term, terms=self.terms,

@@ -28,7 +28,7 @@ VIEWS: dict[str, str] = {
         CASE n_regionkey WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 8 WHEN 3 THEN 11 ELSE 0 END AS start_grade_level_id,
         n_nationkey % 10 = 9 AS exclude_from_state_reporting FROM nation""",
     "site_labels": """SELECT n_nationkey AS site_id,
-        CASE WHEN n_nationkey = 24 THEN NULL ELSE 'S' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS short_name
+        CASE WHEN n_nationkey = 23 THEN NULL ELSE 'S' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS short_name
         FROM nation""",
     "grade_levels": """SELECT CAST(range AS INTEGER) AS grade_level_id,
         CASE WHEN range = 0 THEN 'PRE' WHEN range = 1 THEN 'TK' WHEN range = 2 THEN 'K'
@@ -125,7 +125,8 @@ VIEWS: dict[str, str] = {
     "store_sites": """SELECT n_nationkey AS siteid, 'S' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS abbreviation,
         n_name AS description, CASE WHEN n_nationkey % 10 = 9 THEN 1 ELSE 0 END AS auto_exclude,
         CASE n_regionkey WHEN 0 THEN 5 WHEN 1 THEN 8 ELSE 12 END AS upper_unit FROM nation""",
-    "groups": """SELECT 'sec-' || CAST(section_id AS VARCHAR) AS google_groupid,
+    "groups": """SELECT *, 'et-' || google_groupid AS etag FROM (
+        SELECT 'sec-' || CAST(section_id AS VARCHAR) AS google_groupid,
         CASE WHEN section_id % 9 = 0 THEN 'old-' || email WHEN section_id % 9 = 1 THEN upper(email)
              ELSE email END AS group_email,
         'Section ' || CAST(section_id AS VARCHAR) AS group_name, CAST(NULL AS VARCHAR) AS description,
@@ -148,7 +149,7 @@ VIEWS: dict[str, str] = {
         SELECT 'crs-' || CAST(p_partkey AS VARCHAR), 'crs-' || CAST(p_partkey AS VARCHAR) || '@groups.example.org',
         'Course section ' || CAST(p_partkey AS VARCHAR), NULL, CAST(p_partkey % 25 AS INTEGER), 'Courses',
         CAST(p_partkey AS VARCHAR)
-        FROM part WHERE p_partkey % 6 = 0""",
+        FROM part WHERE p_partkey % 6 = 0)""",
     "group_member": """SELECT google_groupid, google_userid, role, 'USER' AS type FROM (
         SELECT 'sec-' || CAST(l_partkey AS VARCHAR) AS google_groupid, 'gu' || CAST(o_custkey AS VARCHAR) AS google_userid,
           CASE WHEN (l_partkey + o_custkey) % 10 = 0 THEN 'OWNER' ELSE 'MEMBER' END AS role
