@@ -192,4 +192,7 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     if not ordered:
         return sql
     ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in ordered)
-    return f"WITH {ctes}\n{sql}"
+    body = sql.strip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
