@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import initial_or_null, local_part, sanitize_username
-from rollcall.operators.ranking import cumulative_within, sequence_within
+from rollcall.operators.ranking import cumulative_within, join_back, materialize, sequence_within
 
 _REJECT_TAKEN = "override taken"
 _REJECT_DUP = "override repeated"
@@ -50,6 +50,14 @@ def _mark(df: DataFrame, names: DataFrame, name_col: str, out: str) -> DataFrame
     return j.withColumn(out, F.col("__hit").isNotNull()).drop("__d", "__n", "__hit")
 
 
+def _first_flag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out: str) -> DataFrame:
+    """``out`` is true on the first row of each group in order (a partial
+    aggregate of the minimum order key, joined back)."""
+    mins = df.groupBy(*group_cols).agg(F.min(F.struct(*order_cols)).alias("__first"))
+    return join_back(df, mins, group_cols).withColumn(
+        out, F.struct(*order_cols) == F.col("__first")).drop("__first")
+
+
 def _stem_suffixes(taken: DataFrame, stems: DataFrame) -> DataFrame:
     """(domain, stem, t) for every taken name stem||t, t without a leading 0."""
     digits = F.length(F.regexp_extract("name", r"([0-9]*)$", 1))
@@ -105,33 +113,33 @@ def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: S
 
     # (2) overrides
     o = _mark(c.filter(F.col("override").isNotNull()), ex, "base", "taken")
-    o = sequence_within(o, ["domain", "base"], list(order_cols), out="r")
-    o_ok = o.filter(~F.col("taken") & (F.col("r") == 1))
+    o = materialize(_first_flag(o, ["domain", "base"], order_cols, "first"))
+    o_ok = o.filter(~F.col("taken") & F.col("first"))
     rejects.append(o.filter(F.col("taken")).withColumn("username", F.lit(None).cast("string"))
                    .withColumn("reject_reason", F.lit(_REJECT_TAKEN)))
-    rejects.append(o.filter(~F.col("taken") & (F.col("r") > 1)).withColumn("username", F.lit(None).cast("string"))
+    rejects.append(o.filter(~F.col("taken") & ~F.col("first")).withColumn("username", F.lit(None).cast("string"))
                    .withColumn("reject_reason", F.lit(_REJECT_DUP)))
     claims0 = o_ok.select("domain", F.col("base").alias("name"))
 
     # (3) bases
     n = c.filter(F.col("override").isNull())
     n = _mark(n, ex.unionByName(claims0), "base", "taken")
-    n = sequence_within(n, ["domain", "base"], list(order_cols), out="r")
-    got_base = n.filter(~F.col("taken") & (F.col("r") == 1))
-    rest = n.filter(F.col("taken") | (F.col("r") > 1))
+    n = materialize(_first_flag(n, ["domain", "base"], order_cols, "first"))
+    got_base = n.filter(~F.col("taken") & F.col("first"))
+    rest = n.filter(F.col("taken") | ~F.col("first"))
     claims1 = got_base.select("domain", F.col("base").alias("name"))
 
     # (4) alternates
-    a = _mark(rest.filter(F.col("alt").isNotNull()).drop("taken", "r"), ex.unionByName(claims0).unionByName(claims1),
-              "alt", "taken")
-    a = sequence_within(a, ["domain", "alt"], list(order_cols), out="r")
-    got_alt = a.filter(~F.col("taken") & (F.col("r") == 1))
+    a = _mark(rest.filter(F.col("alt").isNotNull()).drop("taken", "first"),
+              ex.unionByName(claims0).unionByName(claims1), "alt", "taken")
+    a = materialize(_first_flag(a, ["domain", "alt"], order_cols, "first"))
+    got_alt = a.filter(~F.col("taken") & F.col("first"))
     claims2 = got_alt.select("domain", F.col("alt").alias("name"))
 
     # (5) suffixes
     need = (rest.filter(F.col("alt").isNull()).withColumn("stem", F.col("base"))
-            .unionByName(a.filter(F.col("taken") | (F.col("r") > 1)).withColumn("stem", F.col("alt")))
-            .drop("taken", "r"))
+            .unionByName(a.filter(F.col("taken") | ~F.col("first")).withColumn("stem", F.col("alt")))
+            .drop("taken", "first"))
     taken = ex.unionByName(claims0).unionByName(claims1).unionByName(claims2)
     done = [o_ok.withColumn("username", F.col("base")), got_base.withColumn("username", F.col("base")),
             got_alt.withColumn("username", F.col("alt"))]
@@ -141,10 +149,12 @@ def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: S
     # (6) suffix rounds; rows whose name meets another stem's name go again.
     for _ in range(max_rounds):
         got = _suffix_round(need, taken, order_cols).select(*keep_cols, "stem")
-        ranked = sequence_within(got, ["domain", "username"], list(order_cols), out="__dup")
-        placed.append(ranked.filter(F.col("__dup") == 1).select(*keep_cols))
-        need = ranked.filter(F.col("__dup") > 1).drop("__dup", "username")
-        taken = taken.unionByName(ranked.filter(F.col("__dup") == 1).select("domain", F.col("username").alias("name")))
+        ranked = materialize(_first_flag(got, ["domain", "username"], order_cols, "__won"))
+        placed.append(ranked.filter(F.col("__won")).select(*keep_cols))
+        need = ranked.filter(~F.col("__won")).drop("__won", "username")
+        taken = taken.unionByName(ranked.filter(F.col("__won")).select("domain", F.col("username").alias("name")))
+        if need.isEmpty():
+            break
     rejects.append(need.withColumn("username", F.lit(None).cast("string"))
                    .withColumn("reject_reason", F.lit(_REJECT_CLASH)))
 

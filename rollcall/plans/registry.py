@@ -246,7 +246,7 @@ def _k8(tb: Testbed) -> DataFrame:
 
 @query("load_by_position")
 def _k1(tb: Testbed) -> DataFrame:
-    return tb.staff_stage
+    return acc.staff_stage(extract.staff_extract(tb.sis_users))
 
 
 @query("load_by_name")

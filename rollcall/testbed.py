@@ -24,9 +24,29 @@ from pyspark.sql.types import StructType
 from rollcall.config import SyncConfig
 from rollcall.session import ensure_checkpoint_dir
 
-# Derived files are keyed by this file's content, so a rule change never
-# reads a stale copy.
-_VERSION = hashlib.sha1(open(__file__, "rb").read()).hexdigest()[:12]
+def _source_version() -> str:
+    """Hash of the package source: derived tables written by one version of
+    the rules are never read by another."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+_VERSION = _source_version()
+
+# Views written once per scale factor and read back by every later query:
+# the SIS and store tables a real deployment already has, and the stage
+# tables the extract jobs write (staff, students, sections, schedule).
+MATERIALIZED = frozenset({
+    "enrol", "sessions", "section_term", "terms", "section_teacher", "section_student", "account",
+    "group_member", "groups", "departments", "orgunit", "staff_stage", "students_stage", "sections",
+    "schedule", "user_pages", "device_pages",
+})
 
 AS_OF = date(2001, 6, 1)
 ACADEMIC_YEAR = 2001
@@ -49,10 +69,12 @@ CONFIG = SyncConfig(
 class Testbed:
     """Lazily built domain views over one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, config: SyncConfig = CONFIG):
+    def __init__(self, spark: SparkSession, sf_dir: str, config: SyncConfig = CONFIG,
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = config
+        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
     # -- driver tables -------------------------------------------------
@@ -66,9 +88,26 @@ class Testbed:
         if builder is None:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = builder(self)
+            if self.materialize and name in MATERIALIZED:
+                self._cache[name] = self._stored(name, lambda: builder(self))
+            else:
+                self._cache[name] = builder(self)
         return self._cache[name]
 
+    def _stored(self, name: str, build) -> DataFrame:
+        """Read the written table, writing it first when it is missing."""
+        path = f"{self._files_dir()}/views/{name}"
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException:
+            build().write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+
+    def ingest(self) -> None:
+        """Write every materialised table of this scale factor now."""
+        for name in sorted(MATERIALIZED):
+            getattr(self, name)
+
     # -- SIS side ------------------------------------------------------
     def _v_sis_sites(self) -> DataFrame:
         return self.raw("nation").selectExpr(

@@ -169,9 +169,10 @@ VIEWS: dict[str, str] = {
 }
 
 
-def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix ``sql`` with the CTEs it (transitively) references, in order."""
-    defs = dict(VIEWS)
+def with_views(sql: str, extra: dict[str, str] | None = None, replace: bool = False) -> str:
+    """Prefix ``sql`` with the CTEs it (transitively) references, in order.
+    ``replace`` uses ``extra`` as the whole set of definitions."""
+    defs = {} if replace else dict(VIEWS)
     if extra:
         defs.update(extra)
     ordered: list[str] = []
