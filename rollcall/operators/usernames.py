@@ -53,43 +53,43 @@ def _mark(df: DataFrame, names: DataFrame, name_col: str, out: str) -> DataFrame
 def _first_flag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out: str) -> DataFrame:
     """``out`` is true on the first row of each group in order (a partial
     aggregate of the minimum order key, joined back)."""
-    mins = df.groupBy(*group_cols).agg(F.min(F.struct(*order_cols)).alias("__first"))
+    mins = df.groupBy(*group_cols).agg(F.min(F.struct(*order_cols)).alias("__fmin"))
     return join_back(df, mins, group_cols).withColumn(
-        out, F.struct(*order_cols) == F.col("__first")).drop("__first")
+        out, F.struct(*order_cols) == F.col("__fmin")).drop("__fmin")
 
 
 def _stem_suffixes(taken: DataFrame, stems: DataFrame) -> DataFrame:
     """(domain, stem, t) for every taken name stem||t, t without a leading 0."""
     digits = F.length(F.regexp_extract("name", r"([0-9]*)$", 1))
-    splits = (taken.select("domain", "name", F.explode(F.sequence(F.lit(1), F.greatest(digits, F.lit(1)))).alias("i"),
-                           digits.alias("nd"))
-              .filter(F.col("i") <= F.col("nd"))
-              .select("domain", F.expr("substring(name, 1, length(name) - i)").alias("stem"),
-                      F.expr("substring(name, length(name) - i + 1)").alias("digits"))
-              .filter(~F.col("digits").startswith("0")))
-    s = stems.select(F.col("domain").alias("__d"), F.col("stem").alias("__s")).distinct()
-    kept = splits.join(s, (F.col("domain") == F.col("__d")) & (F.col("stem") == F.col("__s")), "left_semi")
-    t = F.col("digits").try_cast("bigint")
-    return kept.filter(t.isNotNull()).select("domain", "stem", t.alias("t")).distinct()
+    splits = (taken.select("domain", "name", F.explode(F.sequence(F.lit(1), F.greatest(digits, F.lit(1)))).alias("__i"),
+                           digits.alias("__nd"))
+              .filter(F.col("__i") <= F.col("__nd"))
+              .select("domain", F.expr("substring(name, 1, length(name) - __i)").alias("__stem"),
+                      F.expr("substring(name, length(name) - __i + 1)").alias("__digits"))
+              .filter(~F.col("__digits").startswith("0")))
+    s = stems.select(F.col("domain").alias("__d"), F.col("__stem").alias("__s")).distinct()
+    kept = splits.join(s, (F.col("domain") == F.col("__d")) & (F.col("__stem") == F.col("__s")), "left_semi")
+    t = F.col("__digits").try_cast("bigint")
+    return kept.filter(t.isNotNull()).select("domain", "__stem", t.alias("__t")).distinct()
 
 
 def _suffix_round(need: DataFrame, taken: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """Assign the k-th free suffix of its stem to each row of ``need``."""
-    need = sequence_within(need.withColumn("__ord", F.struct(*order_cols)), ["domain", "stem"],
-                           list(order_cols), out="k")
-    t = _stem_suffixes(taken, need.select("domain", "stem"))
-    t = sequence_within(t, ["domain", "stem"], ["t"], out="j")
+    need = sequence_within(need.withColumn("__ord", F.struct(*order_cols)), ["domain", "__stem"],
+                           list(order_cols), out="__k")
+    t = _stem_suffixes(taken, need.select("domain", "__stem"))
+    t = sequence_within(t, ["domain", "__stem"], ["__t"], out="__j")
     ord_type = need.schema["__ord"].dataType
-    cand_ev = need.select("__ord", "domain", "stem", F.col("k").alias("v"), F.lit(0).alias("kind"),
-                          F.col("k").alias("tie"), F.lit(0).alias("flag"))
-    taken_ev = t.select(F.lit(None).cast(ord_type).alias("__ord"), "domain", "stem",
-                        (F.col("t") - F.col("j")).alias("v"), F.lit(1).alias("kind"), F.col("j").alias("tie"),
-                        F.lit(1).alias("flag"))
-    ev = cumulative_within(cand_ev.unionByName(taken_ev), ["domain", "stem"], ["v", "kind", "tie"],
-                           F.col("flag"), out="before")
-    sfx = ev.filter(F.col("kind") == 0).select(F.col("__ord").alias("__o"), (F.col("v") + F.col("before")).alias("suffix"))
-    return (need.join(sfx, F.col("__ord") == F.col("__o")).drop("__o", "__ord", "k")
-            .withColumn("username", F.concat(F.col("stem"), F.col("suffix").cast("string"))))
+    cand_ev = need.select("__ord", "domain", "__stem", F.col("__k").alias("__v"), F.lit(0).alias("__kind"),
+                          F.col("__k").alias("__tie"), F.lit(0).alias("__flag"))
+    taken_ev = t.select(F.lit(None).cast(ord_type).alias("__ord"), "domain", "__stem",
+                        (F.col("__t") - F.col("__j")).alias("__v"), F.lit(1).alias("__kind"), F.col("__j").alias("__tie"),
+                        F.lit(1).alias("__flag"))
+    ev = cumulative_within(cand_ev.unionByName(taken_ev), ["domain", "__stem"], ["__v", "__kind", "__tie"],
+                           F.col("__flag"), out="__before")
+    sfx = ev.filter(F.col("__kind") == 0).select(F.col("__ord").alias("__o"), (F.col("__v") + F.col("__before")).alias("__suffix"))
+    return (need.join(sfx, F.col("__ord") == F.col("__o")).drop("__o", "__ord", "__k")
+            .withColumn("username", F.concat(F.col("__stem"), F.col("__suffix").cast("string"))))
 
 
 def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: Sequence[str],
@@ -100,55 +100,55 @@ def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: S
     Returns the candidates with ``username`` and ``reject_reason`` (one of
     them NULL).
     """
-    c = candidates.withColumn("base", F.when(F.col("override").isNotNull(), sanitize_username(local_part("override")))
+    c = candidates.withColumn("__base", F.when(F.col("override").isNotNull(), sanitize_username(local_part("override")))
                      .otherwise(sanitize_username(F.concat("given_name", "family_name"))))
-    c = c.withColumn("alt", F.when(F.col("override").isNull(),
+    c = c.withColumn("__alt", F.when(F.col("override").isNull(),
                                    sanitize_username(F.concat("given_name", initial_or_null("middle_name"),
                                                               "family_name"))))
     ex = existing.select("domain", F.lower("name").alias("name"))
-    no_name = F.col("base").isNull() | (F.col("base") == "")
+    no_name = F.col("__base").isNull() | (F.col("__base") == "")
     rejects = [c.filter(no_name).withColumn("username", F.lit(None).cast("string"))
                .withColumn("reject_reason", F.lit(_REJECT_NAME))]
     c = c.filter(~no_name)
 
     # (2) overrides
-    o = _mark(c.filter(F.col("override").isNotNull()), ex, "base", "taken")
-    o = materialize(_first_flag(o, ["domain", "base"], order_cols, "first"))
-    o_ok = o.filter(~F.col("taken") & F.col("first"))
-    rejects.append(o.filter(F.col("taken")).withColumn("username", F.lit(None).cast("string"))
+    o = _mark(c.filter(F.col("override").isNotNull()), ex, "__base", "__taken")
+    o = materialize(_first_flag(o, ["domain", "__base"], order_cols, "__first"))
+    o_ok = o.filter(~F.col("__taken") & F.col("__first"))
+    rejects.append(o.filter(F.col("__taken")).withColumn("username", F.lit(None).cast("string"))
                    .withColumn("reject_reason", F.lit(_REJECT_TAKEN)))
-    rejects.append(o.filter(~F.col("taken") & ~F.col("first")).withColumn("username", F.lit(None).cast("string"))
+    rejects.append(o.filter(~F.col("__taken") & ~F.col("__first")).withColumn("username", F.lit(None).cast("string"))
                    .withColumn("reject_reason", F.lit(_REJECT_DUP)))
-    claims0 = o_ok.select("domain", F.col("base").alias("name"))
+    claims0 = o_ok.select("domain", F.col("__base").alias("name"))
 
     # (3) bases
     n = c.filter(F.col("override").isNull())
-    n = _mark(n, ex.unionByName(claims0), "base", "taken")
-    n = materialize(_first_flag(n, ["domain", "base"], order_cols, "first"))
-    got_base = n.filter(~F.col("taken") & F.col("first"))
-    rest = n.filter(F.col("taken") | ~F.col("first"))
-    claims1 = got_base.select("domain", F.col("base").alias("name"))
+    n = _mark(n, ex.unionByName(claims0), "__base", "__taken")
+    n = materialize(_first_flag(n, ["domain", "__base"], order_cols, "__first"))
+    got_base = n.filter(~F.col("__taken") & F.col("__first"))
+    rest = n.filter(F.col("__taken") | ~F.col("__first"))
+    claims1 = got_base.select("domain", F.col("__base").alias("name"))
 
     # (4) alternates
-    a = _mark(rest.filter(F.col("alt").isNotNull()).drop("taken", "first"),
-              ex.unionByName(claims0).unionByName(claims1), "alt", "taken")
-    a = materialize(_first_flag(a, ["domain", "alt"], order_cols, "first"))
-    got_alt = a.filter(~F.col("taken") & F.col("first"))
-    claims2 = got_alt.select("domain", F.col("alt").alias("name"))
+    a = _mark(rest.filter(F.col("__alt").isNotNull()).drop("__taken", "__first"),
+              ex.unionByName(claims0).unionByName(claims1), "__alt", "__taken")
+    a = materialize(_first_flag(a, ["domain", "__alt"], order_cols, "__first"))
+    got_alt = a.filter(~F.col("__taken") & F.col("__first"))
+    claims2 = got_alt.select("domain", F.col("__alt").alias("name"))
 
     # (5) suffixes
-    need = (rest.filter(F.col("alt").isNull()).withColumn("stem", F.col("base"))
-            .unionByName(a.filter(F.col("taken") | ~F.col("first")).withColumn("stem", F.col("alt")))
-            .drop("taken", "first"))
+    need = (rest.filter(F.col("__alt").isNull()).withColumn("__stem", F.col("__base"))
+            .unionByName(a.filter(F.col("__taken") | ~F.col("__first")).withColumn("__stem", F.col("__alt")))
+            .drop("__taken", "__first"))
     taken = ex.unionByName(claims0).unionByName(claims1).unionByName(claims2)
-    done = [o_ok.withColumn("username", F.col("base")), got_base.withColumn("username", F.col("base")),
-            got_alt.withColumn("username", F.col("alt"))]
+    done = [o_ok.withColumn("username", F.col("__base")), got_base.withColumn("username", F.col("__base")),
+            got_alt.withColumn("username", F.col("__alt"))]
     keep_cols = [*candidates.columns, "username"]
     placed = [d.select(*keep_cols) for d in done]
 
     # (6) suffix rounds; rows whose name meets another stem's name go again.
     for _ in range(max_rounds):
-        got = _suffix_round(need, taken, order_cols).select(*keep_cols, "stem")
+        got = _suffix_round(need, taken, order_cols).select(*keep_cols, "__stem")
         ranked = materialize(_first_flag(got, ["domain", "username"], order_cols, "__won"))
         placed.append(ranked.filter(F.col("__won")).select(*keep_cols))
         need = ranked.filter(~F.col("__won")).drop("__won", "username")
