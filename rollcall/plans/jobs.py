@@ -57,3 +57,80 @@ def section_group_sync(sections: DataFrame, schedule: DataFrame, groups: DataFra
         ChangeSet("insert_member", pupils.select("google_groupid", "google_id", "role"),
                   ["google_groupid", "google_id"], member_payload()),
     ], cfg.batch_size)
+
+
+def school_and_cohort_sync(departments: DataFrame, sites: DataFrame, students: DataFrame, staff: DataFrame,
+                           groups: DataFrame, accounts: DataFrame, members: DataFrame,
+                           cfg: SyncConfig) -> DataFrame:
+    """Staff-group members (Q27), new graduation-year groups (Q28) and
+    their missing members (Q30) as one outbox."""
+    new_groups = grp.cohort_groups_missing(departments, sites, groups, cfg)
+    school = grp.school_members_missing(staff, groups, accounts, members).withColumnRenamed(
+        "google_userid", "google_id")
+    cohort = grp.cohort_members_missing(students, groups, accounts, members, cfg)
+    group_payload = F.struct(F.col("group_email").alias("email"), F.col("group_name").alias("name"),
+                             F.col("group_description").alias("description"))
+    return outbox([
+        ChangeSet("insert_group", new_groups, ["group_email"], group_payload),
+        ChangeSet("insert_member", school.select("google_groupid", "google_id", "role"),
+                  ["google_groupid", "google_id"], member_payload()),
+        ChangeSet("insert_member", cohort.select("google_groupid", "google_id", "role"),
+                  ["google_groupid", "google_id"], member_payload()),
+    ], cfg.batch_size)
+
+
+def sis_writeback(students: DataFrame, accounts: DataFrame, src: dict[str, DataFrame], cfg: SyncConfig,
+                  out_dir: str) -> dict[str, int]:
+    """The e-mail write-back set (Q33, applied to the SIS as an update
+    set keyed by student) and the portal-account TSV (Q34, K9 with TAB)."""
+    from rollcall.plans import extras
+    from rollcall.sinks.export import audited, write_delimited
+
+    updates, obs_u = audited(extras.email_writeback(students, accounts), "email_writeback")
+    updates.write.mode("errorifexists").parquet(f"{out_dir}/email_writeback")
+    portal, obs_p = audited(extras.portal_missing(src, cfg), "portal_missing")
+    write_delimited(portal, f"{out_dir}/portal_accounts_tsv", sep="\t", header=True, single_file=True)
+    return {"email_writeback": obs_u.get["rows"], "portal_missing": obs_p.get["rows"]}
+
+
+def nightly_run(tb, out_base: str, run_id: str) -> dict[str, int]:
+    """Snapshot the store (K13) → extracts (Q01/Q02/Q18/Q19, written as
+    stage tables) → new accounts (C1) → account patches (C3) → group syncs
+    (C6/C7) → SIS write-back and export (C8).  Every output is written under
+    ``out_base/run_id=…`` and its row count recorded (K14 audit table)."""
+    from rollcall.operators.apply import write_snapshot
+    from rollcall.plans import accounts as acc
+    from rollcall.plans import provisioning
+    from rollcall.sinks.export import audited
+
+    cfg = tb.cfg
+    spark = tb.spark
+    audit: dict[str, int] = {}
+
+    def emit(name: str, df: DataFrame) -> None:
+        df2, obs = audited(df, name)
+        write_snapshot(df2, out_base, run_id, name)
+        audit[name] = obs.get["rows"]
+
+    for name in ("account", "groups", "group_member"):           # K13 snapshot before sync
+        emit(f"snapshot_{name}", getattr(tb, name))
+    emit("staff_stage", tb.staff_stage)
+    emit("students_stage", tb.students_stage)
+    emit("sections_stage", tb.sections)
+    emit("schedule_stage", tb.schedule)
+    emit("provision_outbox", provisioning.provision(tb.students_stage, tb.staff_stage, tb.accounts, tb.orgunit, cfg))
+    desired = (acc.desired_staff(tb.staff_stage, tb.accounts, cfg)
+               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+    emit("account_patch", acc.account_patch(desired, tb.accounts))
+    emit("section_outbox", section_group_sync(tb.sections, tb.schedule, tb.groups, tb.accounts, tb.group_member,
+                                              cfg))
+    emit("school_cohort_outbox", school_and_cohort_sync(tb.departments, tb.store_sites, tb.students_stage,
+                                                        tb.staff_stage, tb.groups, tb.accounts, tb.group_member,
+                                                        cfg))
+    src = dict(enrol=tb.enrol, grade_levels=tb.grade_levels, sites=tb.sis_sites, students=tb.sis_students,
+               sessions=tb.sessions, portal=tb.portal_students)
+    audit.update(sis_writeback(tb.students_stage, tb.accounts, src, cfg, f"{out_base}/run_id={run_id}"))
+    rows = [(run_id, k, int(v)) for k, v in sorted(audit.items())]
+    spark.createDataFrame(rows, "run_id string, output string, rows long").write.mode("errorifexists") \
+        .parquet(f"{out_base}/run_id={run_id}/_audit")
+    return audit

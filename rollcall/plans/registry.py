@@ -424,3 +424,9 @@ def _c2(tb: Testbed) -> DataFrame:
 def _c1(tb: Testbed) -> DataFrame:
     from rollcall.plans import provisioning
     return provisioning.provision(tb.students_stage, tb.staff_stage, tb.accounts, tb.orgunit, tb.cfg)
+
+
+@query("school_cohort_outbox")
+def _c7(tb: Testbed) -> DataFrame:
+    return jobs.school_and_cohort_sync(tb.departments, tb.store_sites, tb.students_stage, tb.staff_stage,
+                                       tb.groups, tb.accounts, tb.group_member, tb.cfg)
