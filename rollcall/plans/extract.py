@@ -126,23 +126,6 @@ def staff_extract_custom(users: DataFrame, custom: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- Q18
-def _first_key(cols) -> F.Column:
-    """Ascending sort key with NULLS LAST (min() of it is the first row)."""
-    return F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in cols])
-
-
-def _per_section(rows: DataFrame, key_cols, prefix: str) -> DataFrame:
-    """Row count and first sort key per section (partial aggregation)."""
-    return rows.groupBy("section_id").agg(F.count(F.lit(1)).alias(f"{prefix}_n"),
-                                          F.min(_first_key(key_cols)).alias(f"{prefix}_first"))
-
-
-def _keep_first(rows: DataFrame, stats: DataFrame, key_cols, prefix: str) -> DataFrame:
-    s = stats.select(F.col("section_id").alias(f"{prefix}_sec"), f"{prefix}_first")
-    j = rows.join(s, F.col("section_id") == F.col(f"{prefix}_sec"))
-    return j.filter(_first_key(key_cols) == F.col(f"{prefix}_first")).drop(f"{prefix}_sec", f"{prefix}_first")
-
-
 def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
     """Q18: one desired group per section with derived address, name and
     description.
@@ -154,9 +137,10 @@ def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
     list sizes, and W2 (``dense_rank() … = 1`` over surname, course, time
     block; ties kept) keeps exactly the rows built from the first teacher
     surname, first course name and first time-block name of each list.  Each
-    list is aggregated per section (map-side partial aggregation, so a hot
-    section is combined by many tasks) and only the rank-1 rows are joined —
-    the fan-out join of the reference is never materialised.
+    list is aggregated per section — all four in one aggregate over a tagged
+    union, with map-side partial aggregation, so a hot section is combined
+    by many tasks — and only the rank-1 rows are joined: the fan-out join of
+    the reference is never materialised.
     """
     ses = src["sessions"].filter(F.col("academic_year") == cfg.academic_year)
     sch = src["sites"].filter(F.col("exclude_from_state_reporting") == F.lit(False))
@@ -186,19 +170,39 @@ def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
                     F.col("timeblock_id") == F.col("b_id"))
               .select("section_id", "timeblock_name"))
 
-    t_stats = terms.groupBy("section_id").agg(F.count(F.lit(1)).alias("t_n"))
-    u_stats = _per_section(teachers, ["last_name"], "u")
-    c_stats = _per_section(courses, ["course_name"], "c")
-    b_stats = _per_section(blocks, ["timeblock_name"], "b")
-    stats = (t_stats.join(u_stats, "section_id").join(c_stats, "section_id").join(b_stats, "section_id")
-             .select("section_id", (F.col("t_n") * F.col("u_n") * F.col("c_n") * F.col("b_n")).alias("n_rows"),
-                     "u_first", "c_first", "b_first"))
-    first_teachers = _keep_first(teachers, stats, ["last_name"], "u")
-    first_courses = _keep_first(courses, stats, ["course_name"], "c")
-    first_blocks = _keep_first(blocks, stats, ["timeblock_name"], "b")
-    ranked = (stats.select("section_id", "n_rows")
-              .join(first_teachers, "section_id").join(terms, "section_id")
-              .join(first_courses, "section_id").join(first_blocks, "section_id"))
+    # One tagged union of the four lists → one aggregate per section gives
+    # every list size and every first key (a single shuffle, partial agg).
+    lists = (terms.select("section_id", F.lit("t").alias("tag"), F.lit(None).cast("string").alias("key"),
+                          F.struct("term_name", "site_id", "site_name", "grade", "site_short").alias("t"))
+             .unionByName(teachers.select("section_id", F.lit("u").alias("tag"), F.col("last_name").alias("key"),
+                                          F.struct("user_id", "last_name", "first_name").alias("u")),
+                          allowMissingColumns=True)
+             .unionByName(courses.select("section_id", F.lit("c").alias("tag"), F.col("course_name").alias("key"),
+                                         F.struct("school_course_id", "course_name").alias("c")),
+                          allowMissingColumns=True)
+             .unionByName(blocks.select("section_id", F.lit("b").alias("tag"), F.col("timeblock_name").alias("key"),
+                                        F.struct("timeblock_name").alias("b")),
+                          allowMissingColumns=True))
+    key = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("v"))   # NULLS LAST under min()
+    n_of = {t: F.count(F.when(F.col("tag") == t, F.lit(1))) for t in "tucb"}
+    first_of = {t: F.min(F.when(F.col("tag") == t, key)) for t in "ucb"}
+    stats = (lists.groupBy("section_id")
+             .agg((n_of["t"] * n_of["u"] * n_of["c"] * n_of["b"]).alias("n_rows"),
+                  *[first_of[t].alias(f"{t}_first") for t in "ucb"])
+             .filter(F.col("n_rows") > 0)
+             .withColumnRenamed("section_id", "s_sec"))
+    kept = (lists.join(stats, F.col("section_id") == F.col("s_sec"))
+            .filter((F.col("tag") == "t") | ((F.col("tag") == "u") & (key == F.col("u_first")))
+                    | ((F.col("tag") == "c") & (key == F.col("c_first")))
+                    | ((F.col("tag") == "b") & (key == F.col("b_first")))))
+
+    def part(tag: str, cols) -> DataFrame:
+        return kept.filter(F.col("tag") == tag).select("section_id", *cols)
+
+    ranked = (part("u", ["n_rows", "u.*"])
+              .join(part("t", ["t.*"]), "section_id")
+              .join(part("c", ["c.*"]), "section_id")
+              .join(part("b", ["b.*"]), "section_id"))
 
     period = text.period_name("timeblock_name")
     secondary = F.col("grade").isin(list(SECONDARY_GRADES))
