@@ -95,3 +95,27 @@ def ou_paths(people: DataFrame, orgunits: DataFrame, school_col: str, key_col: s
                    F.concat(F.lit("/"), F.col("ou_path")).alias("ou_full_path"))
     return people.join(ou, (F.col(school_col) == F.col("ou_dept")) & (F.col(key_col) == F.col("ou_key")),
                        "left").drop("ou_dept", "ou_key")
+
+
+# Columns a caller may look accounts up by (P16: the key name is chosen at
+# run time, so it is checked against this list before it becomes a column).
+ACCOUNT_KEYS = ("id", "external_uid", "primary_email", "google_id")
+
+
+def account_query(accounts: DataFrame, key_col: str, keys: DataFrame | None = None,
+                  user_type: str | None = None, sample: tuple[int, int] | None = None) -> DataFrame:
+    """P16/Q37/Q17 tail: compose the optional predicates of an account query.
+
+    ``keys`` (one column named ``key_col``) restricts to those keys with a
+    semi-join; ``user_type`` filters the type; ``sample=(n, seed)`` shuffles
+    and limits (O3)."""
+    if key_col not in ACCOUNT_KEYS:
+        raise ValueError(f"not an account key: {key_col!r}")
+    df = accounts
+    if user_type is not None:
+        df = df.filter(F.col("user_type") == user_type)
+    if keys is not None:
+        df = df.join(keys.select(key_col).distinct(), key_col, "left_semi")
+    if sample is not None:
+        df = hashed_sample(df, sample[0], sample[1], ["id"])
+    return df

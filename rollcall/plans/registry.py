@@ -430,3 +430,8 @@ def _c1(tb: Testbed) -> DataFrame:
 def _c7(tb: Testbed) -> DataFrame:
     return jobs.school_and_cohort_sync(tb.departments, tb.store_sites, tb.students_stage, tb.staff_stage,
                                        tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("orgunit_as_text")
+def _n11(tb: Testbed) -> DataFrame:
+    return nested.as_text(tb.orgunit)
