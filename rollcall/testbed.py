@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -43,6 +44,8 @@ _VERSION = _source_version()
 # change (driver tables are read-only, derived ones are keyed by _VERSION), so
 # later reads pass the schema and skip the footer-reading job.
 _SCHEMAS: dict[str, StructType] = {}
+# One writer at a time per process for the write-once inputs.
+_WRITE_LOCK = threading.RLock()
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -111,11 +114,12 @@ class Testbed:
     def _stored(self, name: str, build) -> DataFrame:
         """Read the written table, writing it first when it is missing."""
         path = f"{self._files_dir()}/views/{name}"
-        try:
-            return read_parquet(self.spark, path)
-        except AnalysisException:
-            build().write.mode("overwrite").parquet(path)
-            return read_parquet(self.spark, path)
+        with _WRITE_LOCK:
+            try:
+                return read_parquet(self.spark, path)
+            except AnalysisException:
+                build().write.mode("overwrite").parquet(path)
+                return read_parquet(self.spark, path)
 
     def ingest(self) -> None:
         """Write every materialised table of this scale factor now."""
@@ -425,11 +429,12 @@ class Testbed:
         checkpoint folder and read back with a declared schema."""
         path = f"{self._files_dir()}/{name}"
         reader = self.spark.read.schema(schema).option("header", header)
-        try:
-            return reader.format(fmt).load(path)
-        except AnalysisException:
-            build().write.mode("overwrite").option("header", header).format(fmt).save(path)
-            return reader.format(fmt).load(path)
+        with _WRITE_LOCK:
+            try:
+                return reader.format(fmt).load(path)
+            except AnalysisException:
+                build().write.mode("overwrite").option("header", header).format(fmt).save(path)
+                return reader.format(fmt).load(path)
 
     def _resource_struct(self):
         return F.expr("""named_struct(
