@@ -11,6 +11,7 @@ rows after a range repartition that splits a hot group over many tasks:
 * :func:`latest_per_key` – J9/A1 (rows holding the group maximum).
 * :func:`sequence_within` – exact consecutive numbering inside a group
   (row_number) from a range repartition + per-partition offsets.
+* :func:`cumulative_within` – running sum inside a group, same split.
 * :func:`last_wins` – A4 (one row per key, highest order value).
 * :func:`hashed_sample` – O3 (deterministic random order + limit).
 """
@@ -28,10 +29,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: a reliable checkpoint in the shared folder named by
     ``spark.checkpoint.dir`` (set by the cluster; tests set a scratch one).

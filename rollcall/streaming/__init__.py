@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a nightly batch: time only paces remote calls, and there is
+no watermark, window, state or late-data handling to rebuild.  Every job here
+is a batch DataFrame plan over an explicit ``as_of`` date; a caller that
+lands change files continuously can run the same plans per micro-batch
+(``foreachBatch``) without new operators.
+"""
