@@ -74,21 +74,33 @@ def _stem_suffixes(taken: DataFrame, stems: DataFrame) -> DataFrame:
 
 
 def _suffix_round(need: DataFrame, taken: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """Assign the k-th free suffix of its stem to each row of ``need``."""
-    need = sequence_within(need.withColumn("__ord", F.struct(*order_cols)), ["domain", "__stem"],
-                           list(order_cols), out="__k")
-    t = _stem_suffixes(taken, need.select("domain", "__stem"))
-    t = sequence_within(t, ["domain", "__stem"], ["__t"], out="__j")
+    """Assign the k-th free suffix of its stem to each row of ``need``.
+
+    One numbering pass over the union of the stem's taken suffixes (first,
+    ascending) and its candidates (after, in order) gives both ranks: j for a
+    taken suffix, and k = rank − #taken for a candidate.
+    """
+    need = need.withColumn("__ord", F.struct(*order_cols))
     ord_type = need.schema["__ord"].dataType
-    cand_ev = need.select("__ord", "domain", "__stem", F.col("__k").alias("__v"), F.lit(0).alias("__kind"),
-                          F.col("__k").alias("__tie"), F.lit(0).alias("__flag"))
-    taken_ev = t.select(F.lit(None).cast(ord_type).alias("__ord"), "domain", "__stem",
-                        (F.col("__t") - F.col("__j")).alias("__v"), F.lit(1).alias("__kind"), F.col("__j").alias("__tie"),
-                        F.lit(1).alias("__flag"))
-    ev = cumulative_within(cand_ev.unionByName(taken_ev), ["domain", "__stem"], ["__v", "__kind", "__tie"],
-                           F.col("__flag"), out="__before")
-    sfx = ev.filter(F.col("__kind") == 0).select(F.col("__ord").alias("__o"), (F.col("__v") + F.col("__before")).alias("__suffix"))
-    return (need.join(sfx, F.col("__ord") == F.col("__o")).drop("__o", "__ord", "__k")
+    t = _stem_suffixes(taken, need.select("domain", "__stem"))
+    both = (t.select("domain", "__stem", F.lit(0).alias("__kind"), "__t",
+                     F.lit(None).cast(ord_type).alias("__ord"))
+            .unionByName(need.select("domain", "__stem", F.lit(1).alias("__kind"),
+                                     F.lit(None).cast("bigint").alias("__t"), "__ord")))
+    both = sequence_within(both, ["domain", "__stem"], ["__kind", "__t", "__ord"], out="__r")
+    m = (both.groupBy("domain", "__stem").agg(F.count(F.when(F.col("__kind") == 0, F.lit(1))).alias("__m"))
+         .select(F.col("domain").alias("__md"), F.col("__stem").alias("__ms"), "__m"))
+    both = both.join(m, (F.col("domain") == F.col("__md")) & (F.col("__stem") == F.col("__ms"))).drop("__md", "__ms")
+    # events: candidate k (kind 0) sorts before a taken t_j − j equal to it (kind 1)
+    ev = both.select(
+        "__ord", "domain", "__stem",
+        F.when(F.col("__kind") == 0, F.col("__t") - F.col("__r")).otherwise(F.col("__r") - F.col("__m")).alias("__v"),
+        (F.lit(1) - F.col("__kind")).alias("__ek"), F.col("__r").alias("__tie"),
+        (F.lit(1) - F.col("__kind")).alias("__flag"))
+    ev = cumulative_within(ev, ["domain", "__stem"], ["__v", "__ek", "__tie"], F.col("__flag"), out="__before")
+    sfx = ev.filter(F.col("__ek") == 0).select(F.col("__ord").alias("__o"),
+                                               (F.col("__v") + F.col("__before")).alias("__suffix"))
+    return (need.join(sfx, F.col("__ord") == F.col("__o")).drop("__o", "__ord")
             .withColumn("username", F.concat(F.col("__stem"), F.col("__suffix").cast("string"))))
 
 
