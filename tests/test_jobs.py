@@ -19,3 +19,30 @@ def test_nightly_run_writes_every_output_with_audit(spark, tmpdir_path):
     # snapshot → restore is the identity
     restored = spark.read.parquet(os.path.join(base, "snapshot_account"))
     assert restored.exceptAll(tb.account).count() == 0 and tb.account.exceptAll(restored).count() == 0
+
+
+def test_nightly_run_on_catalog_tables(spark, tmpdir_path):
+    """The same job on user-provided tables: the testbed's written views act as
+    the catalog; stage tables are derived, nothing else is."""
+    import pytest
+    from rollcall.plans.tables import CatalogTables
+    from rollcall.testbed import MATERIALIZED
+
+    tb = Testbed(spark, SF)
+    tb.ingest()
+    views = os.path.join(tb._files_dir(), "views")
+    sources = {n: os.path.join(views, n) for n in MATERIALIZED
+               if n not in ("staff_stage", "students_stage", "sections", "schedule")}
+    extra = {}
+    for n in ("sis_sites", "site_labels", "grade_levels", "sis_students", "student_cf", "student_house",
+              "portal_students", "sis_users", "section_course", "courses", "section_timeblock", "timeblocks",
+              "store_sites"):
+        p = os.path.join(tmpdir_path, "src", n)
+        getattr(tb, n).write.parquet(p)
+        extra[n] = p
+    cat = CatalogTables(spark, {**sources, **extra}, tb.cfg)
+    a = nightly_run(cat, os.path.join(tmpdir_path, "out"), "c1")
+    b = nightly_run(Testbed(spark, SF), os.path.join(tmpdir_path, "out"), "t1")
+    assert a == b
+    with pytest.raises(AttributeError):
+        CatalogTables(spark, {}, tb.cfg).sis_users
