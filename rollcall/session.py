@@ -41,10 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it; only when it is unset (local tests) a scratch folder
     is created and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="rollcall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
