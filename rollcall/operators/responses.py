@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 def route_group_responses(requests: DataFrame, responses: DataFrame, groups: DataFrame) -> DataFrame:
     """Outcome per insert-group request with the group row to store."""
     existing = (groups.filter(F.col("group_email").isNotNull()).groupBy("group_email")
-                .agg(F.min(F.struct("google_groupid", "group_name", "etag")).alias("g"))
+                .agg(F.min(F.struct("google_groupid", "group_name", "description", "etag")).alias("g"))
                 .select(F.col("group_email").alias("x_email"), "g"))
     j = (requests.alias("rq")
          .join(responses.alias("rs"), F.col("rq.request_id") == F.col("rs.request_id"), "left")
@@ -43,10 +43,17 @@ def route_group_responses(requests: DataFrame, responses: DataFrame, groups: Dat
     etag = F.when(ok, F.col("rs.body.etag")).when(conflict, F.col("g.etag"))
     return j.select(F.col("rq.request_id").alias("request_id"), status.alias("status"), outcome.alias("outcome"),
                     gid.alias("google_groupid"), email.alias("group_email"), name.alias("group_name"),
-                    F.when(ok | conflict, F.col("rq.description")).alias("description"), etag.alias("etag"))
+                    F.when(ok, F.col("rq.description"))
+                    .when(conflict & F.col("x_email").isNotNull(),
+                          F.coalesce(F.col("g.description"), F.col("rq.description"))).alias("description"),
+                    etag.alias("etag"))
 
 
 def applied_groups(routed: DataFrame) -> DataFrame:
-    """The rows to upsert into the group store (created + exists)."""
+    """The rows to upsert into the group store (created + exists), one per
+    group id: when several requests resolve to the same stored group, the
+    earliest request wins (a partial aggregate, no per-group collection)."""
+    row = F.struct("group_email", "group_name", "description", "etag")
     return (routed.filter(F.col("outcome").isin("created", "exists"))
-            .select("google_groupid", "group_email", "group_name", "description", "etag"))
+            .groupBy("google_groupid").agg(F.min_by(row, F.col("request_id")).alias("r"))
+            .select("google_groupid", "r.*"))

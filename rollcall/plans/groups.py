@@ -298,3 +298,22 @@ def all_groups(groups: DataFrame) -> DataFrame:
 
 def role_filter(col: str, role: str) -> Column:
     return F.col(col) == role
+
+
+def pending_section_members(schedule: DataFrame, sections: DataFrame, groups: DataFrame, accounts: DataFrame,
+                            cfg: SyncConfig) -> DataFrame:
+    """Stage barrier (E2): students scheduled on as_of into a section whose
+    group does not exist yet.  They are keyed by the section and marked
+    ``pending_group``; once the group's create response is applied they
+    surface through :func:`section_members_missing`."""
+    new = missing(sections.select("section_id").distinct(), groups_of_type(groups, SECTION_GROUP),
+                  [("section_id", "ua_num")])
+    sched = (schedule.filter(dates.active_on(cfg.as_of, "dateenrolled", "dateleft"))
+             .select("sectionid", "studentid"))
+    bu = (accounts_of_type(accounts, "student").filter(F.col("google_id").isNotNull())
+          .select("external_uid", "google_id"))
+    return (sched.join(new, sched["sectionid"] == new["section_id"])
+            .join(bu, sched["studentid"] == bu["external_uid"])
+            .select(F.col("section_id").cast("string").alias("unique_attribute"), "google_id",
+                    F.lit(ROLE_MEMBER).alias("role"), F.lit("pending_group").alias("status"))
+            .distinct())

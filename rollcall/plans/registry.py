@@ -435,3 +435,16 @@ def _c7(tb: Testbed) -> DataFrame:
 @query("orgunit_as_text")
 def _n11(tb: Testbed) -> DataFrame:
     return nested.as_text(tb.orgunit)
+
+
+@query("pending_section_members")
+def _e2_pending(tb: Testbed) -> DataFrame:
+    return grp.pending_section_members(tb.schedule, tb.sections, tb.groups, tb.accounts, tb.cfg)
+
+
+@query("groups_after_responses")
+def _e2_apply(tb: Testbed) -> DataFrame:
+    routed = responses.route_group_responses(tb.group_requests, tb.group_responses, tb.groups)
+    store = tb.groups.select("google_groupid", "group_email", "group_name", "description", "etag",
+                             "department_id", "group_type", "unique_attribute")
+    return ap.upsert(store, responses.applied_groups(routed), ["google_groupid"])

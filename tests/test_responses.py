@@ -10,8 +10,9 @@ def test_routing_of_every_status(spark):
     resp = spark.createDataFrame([
         ("r1", 200, ("id1", None, None, "e1")), ("r2", 409, None), ("r3", 409, None), ("r4", 500, None)],
         "request_id string, status int, body struct<id: string, email: string, name: string, etag: string>")
-    groups = spark.createDataFrame([("gB", "b@g", None, "eB")],
-                                   "google_groupid string, group_email string, group_name string, etag string")
+    groups = spark.createDataFrame([("gB", "b@g", None, "stored", "eB")],
+                                   "google_groupid string, group_email string, group_name string,"
+                                   " description string, etag string")
     out = route_group_responses(req, resp, groups)
     assert rows(out, "request_id", "outcome", "google_groupid", "group_email", "group_name") == [
         ("r1", "created", "id1", "a@g", "A"),          # response lacks name/email → request's (N7)
@@ -19,4 +20,4 @@ def test_routing_of_every_status(spark):
         ("r3", "unresolved", None, None, None),
         ("r4", "rejected", None, None, None),
         ("r5", "pending", None, None, None)]
-    assert rows(applied_groups(out), "google_groupid") == [("gB",), ("id1",)]
+    assert rows(applied_groups(out), "google_groupid", "description") == [("gB", "stored"), ("id1", "d1")]
