@@ -60,7 +60,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 # the SIS and store tables a real deployment already has, and the stage
 # tables the extract jobs write (staff, students, sections, schedule).
 MATERIALIZED = frozenset({
-    "enrol", "sessions", "section_term", "terms", "section_teacher", "section_student", "account",
+    "enrol", "sessions", "section_term", "terms", "section_teacher", "section_student", "section_course",
+    "courses", "account",
     "group_member", "groups", "departments", "orgunit", "staff_stage", "students_stage", "sections",
     "schedule", "user_pages", "device_pages",
 })
