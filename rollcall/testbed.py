@@ -87,6 +87,8 @@ CONFIG = SyncConfig(
 class Testbed:
     """Lazily built domain views over one scale-factor folder."""
 
+    __test__ = False  # not a pytest test class
+
     def __init__(self, spark: SparkSession, sf_dir: str, config: SyncConfig = CONFIG,
                  materialize: bool = True):
         self.spark = spark
