@@ -11,7 +11,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.plans import extract
+from rollcall.config import COHORT_GROUP, SCHOOL_GROUP
+from rollcall.operators import apply as ap
+from rollcall.operators import nested, responses
+from rollcall.operators.batches import batch_summary
+from rollcall.operators.ranking import last_wins
+from rollcall.operators.usernames import allocate_usernames
+from rollcall.plans import accounts as acc
+from rollcall.plans import extract, extras, jobs
+from rollcall.plans import groups as grp
+from rollcall.schemas import GROUP_RECORD, USER_FIELD_TO_COLUMN, USER_PAGE
+from rollcall.sinks.export import device_table
+from rollcall.sources import readers
 from rollcall.testbed import Testbed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,9 +59,6 @@ def _student_schedule(tb: Testbed) -> DataFrame:
 
 
 # ------------------------------------------------------------------ groups
-from rollcall.config import COHORT_GROUP, SCHOOL_GROUP  # noqa: E402
-from rollcall.plans import accounts as acc  # noqa: E402
-from rollcall.plans import groups as grp  # noqa: E402
 
 
 @query("section_groups_missing")
@@ -174,8 +182,6 @@ def _c3(tb: Testbed) -> DataFrame:
 
 
 # -------------------------------------------------------------------- jobs
-from rollcall.operators.batches import batch_summary  # noqa: E402
-from rollcall.plans import jobs  # noqa: E402
 
 
 @query("section_groups_outbox")
@@ -189,14 +195,6 @@ def _k12(tb: Testbed) -> DataFrame:
 
 
 # ------------------------------------------------------ nested and sources
-from rollcall.operators import apply as ap  # noqa: E402
-from rollcall.operators import nested, responses  # noqa: E402
-from rollcall.operators.ranking import last_wins  # noqa: E402
-from rollcall.operators.usernames import allocate_usernames  # noqa: E402
-from rollcall.plans import extras  # noqa: E402
-from rollcall.schemas import GROUP_RECORD, USER_FIELD_TO_COLUMN, USER_PAGE  # noqa: E402
-from rollcall.sinks.export import device_table  # noqa: E402
-from rollcall.sources import readers  # noqa: E402
 
 
 def _resources(tb: Testbed) -> DataFrame:
