@@ -46,3 +46,12 @@ def test_nightly_run_on_catalog_tables(spark, tmpdir_path):
     assert a == b
     with pytest.raises(AttributeError):
         CatalogTables(spark, {}, tb.cfg).sis_users
+
+
+def test_cli_help():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, "-m", "rollcall", "--help"], cwd=root, capture_output=True, text=True,
+                       timeout=120)
+    assert r.returncode == 0 and "--tables" in r.stdout
