@@ -47,6 +47,15 @@ class SyncConfig:
     broadcast_max_rows: int = 100_000
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.batch_size < 1:
+            raise ValueError("batch_size must be at least 1")
+        if self.cohort_min_grade < 0:
+            raise ValueError("cohort_min_grade must not be negative")
+        for name in ("staff_domain", "student_domain", "group_domain"):
+            if "@" in getattr(self, name) or not getattr(self, name):
+                raise ValueError(f"{name} must be a bare domain")
+
     @property
     def year_tag(self) -> str:
         """'0001' for academic year 2001 (address suffix)."""

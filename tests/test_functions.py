@@ -84,3 +84,14 @@ def test_date_helpers(spark):
 def test_constant_lookup_unknown_is_null(spark):
     f = codes.map_lookup({"a": "x"}, F.col("v"))
     assert one(spark, f, "a") == "x" and one(spark, f, "zzz") is None
+
+
+def test_config_validation():
+    import pytest
+    from rollcall.config import SyncConfig
+    cfg = SyncConfig(as_of=dt.date(2001, 6, 1), academic_year=2001)
+    assert cfg.year_tag == "0001" and cfg.year_label == "00/01"
+    with pytest.raises(ValueError):
+        SyncConfig(as_of=dt.date(2001, 6, 1), academic_year=2001, batch_size=0)
+    with pytest.raises(ValueError):
+        SyncConfig(as_of=dt.date(2001, 6, 1), academic_year=2001, group_domain="a@b")
