@@ -1,0 +1,19 @@
+"""The reference's in-memory lookups (e-mail → uid, serial → device id)
+as joins, broadcast only behind a size check.
+
+:func:`bounded_broadcast` counts at most ``max_rows + 1`` rows of the lookup
+(one small job); within the bound the lookup is hinted for a broadcast hash
+join, beyond it the join stays a shuffle join (which AQE may still convert
+from runtime sizes).  Nothing unbounded is ever shipped to every executor.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

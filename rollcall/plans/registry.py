@@ -15,6 +15,7 @@ from rollcall.config import COHORT_GROUP, SCHOOL_GROUP
 from rollcall.operators import apply as ap
 from rollcall.operators import nested, responses
 from rollcall.operators.batches import batch_summary
+from rollcall.operators.lookup import bounded_broadcast
 from rollcall.operators.ranking import last_wins
 from rollcall.operators.usernames import allocate_usernames
 from rollcall.plans import accounts as acc
@@ -255,7 +256,7 @@ def _k2(tb: Testbed) -> DataFrame:
 
 @query("uid_linking")
 def _c5(tb: Testbed) -> DataFrame:
-    lookup = readers.read_uid_lookup(tb.spark, tb.uid_lookup_path())
+    lookup = bounded_broadcast(readers.read_uid_lookup(tb.spark, tb.uid_lookup_path()), tb.cfg.broadcast_max_rows)
     res = _resources(tb).select("google_id", "primary_email")
     linked = res.join(lookup, F.col("primary_email") == F.col("email"))
     fresh = linked.join(tb.accounts.select(F.col("primary_email").alias("a_email")),
@@ -282,8 +283,8 @@ def _k11(tb: Testbed) -> DataFrame:
 
 @query("device_patch")
 def _c9(tb: Testbed) -> DataFrame:
-    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"]).withColumnRenamed(
-        "serialNumber", "d_serial")
+    ids = bounded_broadcast(readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"])
+                            .withColumnRenamed("serialNumber", "d_serial"), tb.cfg.broadcast_max_rows)
     upd = tb.device_updates()
     j = upd.join(ids, F.col("serialNumber") == F.col("d_serial"), "left")
     patch = nested.sparse_patch({c: F.col(c) for c in ("annotatedUser", "annotatedAssetId", "annotatedLocation",
