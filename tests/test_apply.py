@@ -97,3 +97,18 @@ def test_bounded_broadcast_only_within_bound(spark, capsys):
         assert "BroadcastHashJoin" not in capsys.readouterr().out
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_insert_and_semi_and_stale(spark):
+    from rollcall.operators.reconcile import existing, stale
+    from rollcall.plans.accounts import account_by_email
+    t = spark.createDataFrame([(1, "a1", "b1", 10)], T)
+    more = spark.createDataFrame([(2, "a2")], "id int, a string")
+    assert rows(apply.insert(t, more)) == [(1, "a1", "b1", 10), (2, "a2", None, None)]
+    cur = spark.createDataFrame([(1, "x"), (5, "y")], "k int, t string")
+    want = spark.createDataFrame([(1,), (2,)], "k2 int")
+    assert rows(existing(want, cur, [("k2", "k")])) == [(1,)]
+    assert rows(stale(cur, want, [("k", "k2")]), "k") == [(5,)]
+    acc = spark.createDataFrame([(1, "a@x"), (2, "b@x")], "id int, primary_email string")
+    emails = spark.createDataFrame([("b@x",), ("b@x",), ("z@x",)], "primary_email string")
+    assert rows(account_by_email(acc, emails), "id") == [(2,)]
