@@ -67,3 +67,12 @@ def test_hashed_sample_is_deterministic_subset(spark):
     a = [r.id for r in ranking.hashed_sample(df, 25, 7, ["id"]).collect()]
     b = [r.id for r in ranking.hashed_sample(df.repartition(9), 25, 7, ["id"]).collect()]
     assert a == b and len(set(a)) == 25
+
+
+def test_numbering_with_null_group_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), (None, 4), ("a", 5)], "g string, id int")
+    got = ranking.sequence_within(df, ["g"], ["id"], out="seq", num_partitions=3)
+    assert rows(got, "g", "id", "seq") == [("a", 3, 1), ("a", 5, 2), (None, 1, 1), (None, 2, 2), (None, 4, 3)]
+    c = ranking.cumulative_within(df, ["g"], ["id"], F.col("id"), out="c", num_partitions=3)
+    assert rows(c, "id", "c") == [(1, 1), (2, 3), (3, 3), (4, 7), (5, 8)]
+    assert rows(ranking.latest_per_key(df, ["g"], "id"), "id") == [(4,), (5,)]
