@@ -134,3 +134,18 @@ def test_stable_under_input_order(spark):
     a = _spark(spark, cands, existing)
     b = _spark(spark, list(reversed(cands)), existing)
     assert a == b
+
+
+def test_hot_name_a_third_of_candidates(spark):
+    cands = []
+    for k in range(240):
+        hot = k % 3 == 0
+        cands.append(dict(k=k, d="a.org", g="Ann" if hot else f"u{k}", f="Lee" if hot else "x",
+                          m="Q" if k % 9 == 0 else None, ov=None))
+    existing = [("a.org", n) for n in ("annlee", "annlee1", "annlee5", "annqlee", "annlee12")]
+    want = simulate([dict(c) for c in cands], existing)
+    got = _spark(spark, cands, existing)
+    assert got == want
+    hot_names = sorted(int(u[len("annlee"):]) for k, (u, _) in got.items()
+                       if u and u.startswith("annlee") and u != "annlee" and k % 3 == 0)
+    assert hot_names[:4] == [2, 3, 4, 6] and len(set(hot_names)) == len(hot_names)
