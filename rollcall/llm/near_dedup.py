@@ -7,13 +7,15 @@ shingle stops as soon as its next arrival is later than every register of its te
 Two texts agree in a register with the probability Jaccard of their weighted sets.  Bands of ``rows`` registers
 make the buckets; pairs that meet in a bucket are verified by the exact Jaccard of their shingle sets.
 
-No pairs within a group.  The nodes are distinct texts (identical texts collapse by their md5 first).  Round by
-round, each bucket that still holds two or more components compares one pivot with its members outside the
-pivot's component, and verified links merge components, so n near copies cost about n comparisons for each round.
-When the pairs left across components are no more than a few for each row (or after ``pivot_rounds``), all of them
-are compared, except where the set sizes alone rule out the similarity.  So two texts that share a bucket end in
-one component or have been compared: no link is lost to the pivots.  With 25 bands of 5 registers a pair at
-0.8 shares a bucket with probability 1 - 5e-5, at 0.9 practically always.
+No pairs within a group.  The nodes are distinct texts (identical texts collapse by their md5 first).  In each of
+``pivot_rounds`` rounds every bucket that still holds two or more components compares one pivot with its members
+outside the pivot's component, and verified links merge components, so n near copies cost about n comparisons for
+each round.  Then all pairs left across components of a bucket are compared.  So two texts that share a bucket end in
+one component or have been compared: no link is lost to the pivots.  A pair is compared by its shingles
+unless its set sizes alone rule the similarity out, or its registers disagree far too often (two bits of each
+register travel with a bucket's rows; a pair is passed over only where the estimate is 4.5 standard deviations
+below the similarity, a chance of 3e-6 at the threshold).  With 25 bands of 5 registers a pair at 0.8 shares a
+bucket with probability 1 - 5e-5, at 0.9 practically always.
 
 Scale: a signature row is about 220 bytes; text is shuffled only for texts that share a bucket with another text.
 Hot buckets are reduced by partial aggregates (pivot, least and greatest component) and joined back, where
@@ -27,8 +29,6 @@ are members like any other, and :func:`deduplicate` keeps exactly one row of a c
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -92,33 +92,59 @@ def band_keys(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketch(kept: np.ndarray) -> np.ndarray:
+    """Two bits of each register, packed by 32 registers into longs: an array (n, longs)."""
+    n, registers = kept.shape
+    bits = np.zeros((n, -(-registers // 32) * 32), U64)
+    bits[:, :registers] = kept >> U64(20) & U64(3)
+    return np.bitwise_or.reduce(bits.reshape(n, -1, 32) << (U64(2) * np.arange(32, dtype=U64)), axis=2).view(np.int64)
+
+
+def may_reach(similarity: float, registers: int, a: str, b: str) -> Column:
+    """False where the sizes or the sketches of rows ``a`` and ``b`` rule the similarity out."""
+    odd = 0x5555555555555555
+    n = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
+    differ = F.lit(0)
+    for i in range(-(-registers // 32)):
+        x = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)))
+    share = 0.75 * (1 - similarity)
+    most = registers * share + 4.5 * (registers * share * (1 - share)) ** 0.5
+    return (n[0] >= similarity * n[1]) & (differ <= most)
+
+
 def node_of(text: Column) -> Column:
     """Identity of a text: its md5 (a null counts as empty)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
-    """One row per distinct text: node, n_shingles and the bucket keys (none for a text without words)."""
+    """One row per distinct text: node, n_shingles, the registers' sketch and the bucket keys (none for a text without words)."""
+    per_row = -(-bands * rows // 32)
+
     def sign(batches):
         for batch in batches:
             buf, offsets = utf8(batch.column(1))
-            sizes, keys, lengths = [], [], []
+            sizes, keys, lengths, sketches = [], [], [], [np.zeros((0, per_row), np.int64)]
             for a, b in slices(offsets):
                 row, key, count = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 kept = prob_min_hash(row, key, 1.0 + np.log(count), b - a, bands * rows)
                 size = np.bincount(row, minlength=b - a)
                 sizes.append(size)
+                sketches.append(sketch(kept))
                 keys.append(band_keys(kept, bands, rows)[size > 0].ravel())
                 lengths.append(np.where(size > 0, bands, 0))
             cut = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]) if lengths else np.zeros(1)
             values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(values, pa.int64()))],
-                ["node", "n_shingles", "buckets"])
+            bits = np.concatenate(sketches)
+            lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(v, pa.int64()))
+                     for o, v in ((np.arange(len(bits) + 1) * per_row, bits.ravel()), (cut, values))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), *lists],
+                                             ["node", "n_shingles", "sketch", "buckets"])
 
     texts = docs.select(node_of(F.col("text")).alias("node"), F.col("text").cast("string").alias("text"))
-    return map_arrow(texts, sign, "node binary, n_shingles long, buckets array<long>").dropDuplicates(["node"])
+    return map_arrow(texts, sign, "node binary, n_shingles long, sketch array<long>, buckets array<long>").dropDuplicates(["node"])
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], width: int = SHINGLE) -> np.ndarray:
@@ -151,12 +177,15 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float, width: int =
     return map_arrow(both, check, "a binary, b binary")
 
 
+def _single(edges: DataFrame) -> bool:
+    """True if no node ``a`` has two edges; edges that also lead to no other ``a`` are stars."""
+    return edges.groupBy("a").count().where("count > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``links`` (a, b): comp is the least node that it is connected to."""
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    before = mark(edges)
-    while before[0]:
+    while not edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty() or not _single(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -164,62 +193,51 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.withColumnRenamed("m", "b"))
         edges = stored(small.distinct(), "small")
-        after = mark(edges)
-        if after == before:
-            break
-        before = after
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-            width: int = SHINGLE, pivot_rounds: int = 6) -> DataFrame:
-    """(node, comp) for every text that has a verified link; texts that are not listed are alone."""
+            width: int = SHINGLE, pivot_rounds: int = 2) -> DataFrame:
+    """(node, comp) for the texts that share a bucket with another text; the others are alone."""
     nodes = stored(signatures(docs, bands, rows, width), "signatures")
-    spread = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_shingles")
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    spread = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_shingles", "sketch")
+    shared = nodes.select(F.explode("buckets").alias("bucket"), "node").groupBy("bucket").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     members = stored(spread.join(shared.select("bucket"), "bucket"), "members")
     texts = docs.select(node_of(F.col("text")).alias("node"), F.col("text").cast("string").alias("text"))
     texts = stored(texts.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "texts")
 
-    label = texts.select("node", F.col("node").alias("comp")).limit(0)
-    links: list[DataFrame] = []
+    label = texts.select("node", F.col("node").alias("comp"))
+    near = lambda x, y: may_reach(similarity, bands * rows, x, y)
+    ordered = (F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     tested: list[DataFrame] = []
-    turn = 0
-    while True:
-        rest = members.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                           F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot")).where("lo <> hi")
-        rest = stored(rest.join(split.select("bucket", "pivot"), "bucket"), "rest")
-        inside = rest.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        size = inside.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0))).first()
-        if not size[0]:
-            break
-        last = turn >= pivot_rounds or size[1] <= 4 * size[0]
-        if last:
-            ours, other = rest.alias("x"), rest.alias("y")
-            fit = F.least("x.n_shingles", "y.n_shingles") >= similarity * F.greatest("x.n_shingles", "y.n_shingles")
-            pairs = ours.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & fit).select(
-                F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    for turn in range(pivot_rounds + 1):
+        now = members.join(label, "node")
+        split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(
+            F.struct("node", "comp", "n_shingles", "sketch"), F.xxhash64("node", F.lit(turn))).alias("x")).where("lo <> hi")
+        if turn < pivot_rounds:
+            pairs = now.alias("y").join(split.select("bucket", "x"), "bucket").where((F.col("x.comp") != F.col("y.comp")) & near("x", "y"))
         else:
-            pairs = rest.where("pivot.comp <> comp").select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            rest = stored(now.join(split.select("bucket"), "bucket"), "rest")
+            pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & near("x", "y"))
+        pairs = pairs.select(*ordered).distinct()
         for old in tested:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested.append(pairs)
-        links.append(stored(verified(pairs, texts, similarity, width), "links"))
-        label = components(reduce(DataFrame.unionByName, links))
-        if last:
-            break
-        turn += 1
+        links = verified(pairs, texts, similarity, width)
+        for side in ("a", "b"):  # a link of two texts is one of their components
+            links = links.join(label.select(F.col("node").alias(side), F.col("comp").alias(f"{side}_comp")), side)
+        joined = components(links.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")))
+        label = stored(label.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select(
+            "node", F.coalesce("to", "comp").alias("comp")), "label")
     return label
 
 
 def labelled(docs: DataFrame, **options) -> DataFrame:
     """``docs`` in struct ``doc`` with ``node`` and ``comp``, the identity of the row's class."""
-    found = stored(classes(docs, **options), "classes")
+    found = classes(docs, **options)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), node_of(docs["text"]).alias("node"))
     return rows.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
