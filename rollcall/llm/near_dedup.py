@@ -13,9 +13,10 @@ outside the pivot's component, and verified links merge components, so n near co
 each round.  Then all pairs left across components of a bucket are compared.  So two texts that share a bucket end in
 one component or have been compared: no link is lost to the pivots.  A pair is compared by its shingles
 unless its set sizes alone rule the similarity out, or its registers disagree far too often (two bits of each
-register travel with a bucket's rows; a pair is passed over only where the estimate is 4.5 standard deviations
-below the similarity, a chance of 3e-6 at the threshold).  With 25 bands of 5 registers a pair at 0.8 shares a
-bucket with probability 1 - 5e-5, at 0.9 practically always.
+of 256 registers; a pair is passed over only where the estimate lies ``sigmas`` = 3 standard deviations below
+the similarity: a chance of 1e-3 for a pair at the threshold, 1e-4 at 0.82).  A pair that shares several
+buckets is compared in one.  With 25 bands of 5 registers a pair at 0.8 shares a bucket with probability 1 - 5e-5, at
+0.9 practically always.
 
 Scale: a signature row is about 220 bytes; text is shuffled only for texts that share a bucket with another text.
 Hot buckets are reduced by partial aggregates (pivot, least and greatest component) and joined back, where
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import LOWER, U64, map_arrow, mix, slices, span_hashes, stored, uniform, utf8, word_spans
 
-SHINGLE, BANDS, ROWS, SIMILARITY = 5, 25, 5, 0.8
+SHINGLE, REGISTERS, BANDS, ROWS, SIMILARITY = 5, 256, 25, 5, 0.8
+_PER_LONG = 32  # registers in a long of a sketch, two bits each
 _KEY_BITS = U64(54)
 _COEFFICIENTS = mix(np.arange(1, 65, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 
@@ -93,24 +95,23 @@ def band_keys(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(kept: np.ndarray) -> np.ndarray:
-    """Two bits of each register, packed by 32 registers into longs: an array (n, longs)."""
+    """Two bits of each register, packed into longs: an array (n, registers / 32)."""
     n, registers = kept.shape
-    bits = np.zeros((n, -(-registers // 32) * 32), U64)
+    bits = np.zeros((n, -(-registers // _PER_LONG) * _PER_LONG), U64)
     bits[:, :registers] = kept >> U64(20) & U64(3)
-    return np.bitwise_or.reduce(bits.reshape(n, -1, 32) << (U64(2) * np.arange(32, dtype=U64)), axis=2).view(np.int64)
+    return np.bitwise_or.reduce(bits.reshape(n, -1, _PER_LONG) << (U64(2) * np.arange(_PER_LONG, dtype=U64)), axis=2).view(np.int64)
 
 
-def may_reach(similarity: float, registers: int, a: str, b: str) -> Column:
-    """False where the sizes or the sketches of rows ``a`` and ``b`` rule the similarity out."""
-    odd = 0x5555555555555555
-    n = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    differ = F.lit(0)
-    for i in range(-(-registers // 32)):
-        x = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)))
-    share = 0.75 * (1 - similarity)
-    most = registers * share + 4.5 * (registers * share * (1 - share)) ** 0.5
-    return (n[0] >= similarity * n[1]) & (differ <= most)
+def may_reach(similarity: float, registers: int, a: str, b: str, sigmas: float = 3.0) -> Column:
+    """False where the sizes or the sketches (columns s0, s1, ...) of rows ``a`` and ``b`` rule the similarity out."""
+    differ = []
+    for i in range(-(-registers // _PER_LONG)):
+        x = F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))
+        differ.append(F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))))
+    share = 3 / 4 * (1 - similarity)
+    most = int(registers * share + sigmas * (registers * share * (1 - share)) ** 0.5)
+    n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (n >= similarity * m) & (m >= similarity * n) & (sum(differ[1:], differ[0]) <= most)
 
 
 def node_of(text: Column) -> Column:
@@ -118,9 +119,9 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
     """One row per distinct text: node, n_shingles, the registers' sketch and the bucket keys (none for a text without words)."""
-    per_row = -(-bands * rows // 32)
+    per_row = -(-registers // _PER_LONG)
 
     def sign(batches):
         for batch in batches:
@@ -128,7 +129,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int
             sizes, keys, lengths, sketches = [], [], [], [np.zeros((0, per_row), np.int64)]
             for a, b in slices(offsets):
                 row, key, count = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
-                kept = prob_min_hash(row, key, 1.0 + np.log(count), b - a, bands * rows)
+                kept = prob_min_hash(row, key, 1.0 + np.log(count), b - a, registers)
                 size = np.bincount(row, minlength=b - a)
                 sizes.append(size)
                 sketches.append(sketch(kept))
@@ -197,30 +198,33 @@ def components(links: DataFrame) -> DataFrame:
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-            width: int = SHINGLE, pivot_rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, registers: int = REGISTERS, bands: int = BANDS,
+            rows: int = ROWS, width: int = SHINGLE, pivot_rounds: int = 2) -> DataFrame:
     """(node, comp) for the texts that share a bucket with another text; the others are alone."""
-    nodes = stored(signatures(docs, bands, rows, width), "signatures")
-    spread = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_shingles", "sketch")
-    shared = nodes.select(F.explode("buckets").alias("bucket"), "node").groupBy("bucket").agg(
-        F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    nodes = stored(signatures(docs, registers, bands, rows, width), "signatures")
+    spread = nodes.select(F.explode("buckets").alias("bucket"), "node")
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     members = stored(spread.join(shared.select("bucket"), "bucket"), "members")
     texts = docs.select(node_of(F.col("text")).alias("node"), F.col("text").cast("string").alias("text"))
     texts = stored(texts.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "texts")
 
-    label = texts.select("node", F.col("node").alias("comp"))
-    near = lambda x, y: may_reach(similarity, bands * rows, x, y)
+    longs = -(-registers // _PER_LONG)
+    facts = stored(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "n_shingles", "buckets", *[F.col("sketch")[i].alias(f"s{i}") for i in range(longs)]), "facts")
+    label = stored(facts.select("node", F.col("node").alias("comp")), "label")
+    near = lambda x, y: may_reach(similarity, registers, x, y)
+    first_met = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
     ordered = (F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     tested: list[DataFrame] = []
     for turn in range(pivot_rounds + 1):
-        now = members.join(label, "node")
+        now = members.join(label.join(facts, "node"), "node")
         split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(
-            F.struct("node", "comp", "n_shingles", "sketch"), F.xxhash64("node", F.lit(turn))).alias("x")).where("lo <> hi")
+            F.struct("node", "comp", "n_shingles", *[f"s{i}" for i in range(longs)]), F.xxhash64("node", F.lit(turn))).alias("x")).where("lo <> hi")
         if turn < pivot_rounds:
             pairs = now.alias("y").join(split.select("bucket", "x"), "bucket").where((F.col("x.comp") != F.col("y.comp")) & near("x", "y"))
         else:
             rest = stored(now.join(split.select("bucket"), "bucket"), "rest")
-            pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & near("x", "y"))
+            pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & near("x", "y") & first_met)
         pairs = pairs.select(*ordered).distinct()
         for old in tested:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
