@@ -1,8 +1,8 @@
 """Operator 6: quality rules as one Spark projection, without user functions.
 
 A table of thresholds (:data:`RULES`) names a ratio of per-text counts, its bounds and the smallest text it
-applies to.  :func:`with_counts` adds the counts, :func:`verdict` compiles the table into one boolean
-expression.  Everything is a projection over the row: no shuffle, no aggregate, no Python.
+applies to.  :func:`counts` makes the counts, :func:`verdict` compiles the table into one boolean
+expression over them.  Everything is a projection over the row: no shuffle, no aggregate, no Python.
 
 Repeated three-word windows are found inside the row by sorting (hash of the window, position) pairs, which
 costs n log n for a text of n words, so a text that repeats one word 100,000 times is as harmless as any other.
@@ -32,7 +32,7 @@ STOP_WORDS = list(dict.fromkeys((
 
 @dataclass(frozen=True)
 class Rule:
-    """``numerator`` over ``denominator`` (SQL over the counts) must lie in [low, high] if ``n_words >= least_words``."""
+    """``numerator`` over ``denominator`` (names of counts) must lie in [low, high] if ``n_words >= least_words``."""
 
     name: str
     numerator: str
@@ -55,6 +55,14 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK, -1), "")
 
 
+def bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``: a one-element array as a let-binding.
+
+    The optimizer copies a column's expression to where a filter uses it; a bound value stays evaluated once.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _length_of(text: Column, other: str) -> Column:
     """Code points of ``text`` after what matches ``other`` is taken out."""
     return F.length(F.regexp_replace(text, other, "")).cast("long")
@@ -74,10 +82,6 @@ def repeat_words(words_col: Column, width: int = 3) -> Column:
         gaps = F.transform(at, lambda p, j: F.least(F.lit(width), F.coalesce(F.get(at, j + 1) - p, F.lit(width))))
         return F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
 
-    def bind(value: Column, use) -> Column:
-        """Evaluate ``value`` once and hand it to ``use`` (a one-element array is a let-binding)."""
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
     def count(h: Column) -> Column:
         pairs = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
         positions = bind(F.sort_array(pairs), lambda ordered: F.sort_array(F.transform(twice(ordered), lambda x: x["i"])))
@@ -86,56 +90,61 @@ def repeat_words(words_col: Column, width: int = 3) -> Column:
     return F.when(last < 0, F.lit(0)).otherwise(bind(hashes, count)).cast("long")
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` packed as struct ``doc`` beside the counts that the rules use."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), t.alias("t"))
-    split = packed.select("doc", "t", words(F.col("t")).alias("w"),
-                          F.filter(F.split("t", "\n", -1), lambda x: F.length(F.regexp_replace(x, BLANK, "")) > 0).alias("lines"))
-    return split.select(
-        "doc",
-        F.size("w").cast("long").alias("n_words"),
-        F.length(F.concat_ws("", "w")).cast("long").alias("word_chars"),
-        _length_of(F.col("t"), r"[^#*$%&|<>]+").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("w")).alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.filter("lines", lambda x: x.endswith("...") | x.endswith("…"))).cast("long").alias("n_ellipsis_lines"),
-        F.size(F.filter("w", lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+def counts(text: Column) -> Column:
+    """Struct of the counts that the rules use."""
+    t = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.regexp_replace(x, BLANK, "")) > 0)
+    fields = lambda w, l: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.concat_ws("", w)).cast("long").alias("word_chars"),
+        _length_of(t, r"[^#*$%&|<>]+").alias("n_symbols"),
+        (F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
+        repeat_words(w).alias("n_repeat_words"),
+        F.size(l).cast("long").alias("n_lines"),
+        F.size(F.filter(l, lambda x: x.endswith("...") | x.endswith("…"))).cast("long").alias("n_ellipsis_lines"),
+        F.size(F.filter(w, lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
     )
+    return bind(words(t), lambda w: bind(lines, lambda l: fields(w, l)))
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(c: Column) -> Column:
+    return (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
 
 
-def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
-    """True if every rule that applies holds."""
+def verdict(c: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """True if every rule that applies to the counts holds."""
     def holds(r: Rule) -> Column:
-        top, below = F.expr(r.numerator), F.expr(r.denominator)
+        top, below = c[r.numerator], c[r.denominator]
         bounds = [top >= r.low * below] if r.low is not None else []
         bounds += [top <= r.high * below] if r.high is not None else []
-        return (F.col("n_words") < r.least_words) | reduce(lambda a, b: a & b, bounds)
+        return (c["n_words"] < r.least_words) | reduce(lambda a, b: a & b, bounds)
 
     return reduce(lambda a, b: a & b, [holds(r) for r in rules])
 
 
+def judgement(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Struct of the counts, ``base_failed`` and ``kept``: the table of thresholds as one expression."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ellipsis_lines", "n_stop_words")
+    return bind(counts(text), lambda c: F.struct(
+        *[c[n].alias(n) for n in names], base_failed(c).alias("base_failed"), (~base_failed(c) & verdict(c, rules)).alias("kept")))
+
+
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` for every row; the row itself is in struct ``doc``."""
-    counted = with_counts(docs, text).withColumn("base_failed", base_failed())
-    return counted.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    """Every row in struct ``doc`` with struct ``quality``, its judgement."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), judgement(docs[text], rules).alias("quality"))
 
 
 def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that the rules keep, with the columns of ``docs``."""
-    return judge(docs, rules).where("kept").select("doc.*")
+    return docs.where(judgement(docs["text"], rules)["kept"])
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row: doc_id, the base counts and both verdicts, then the counts of the further rules."""
-    return judge(docs.select("doc_id", "text"), rules).select(
-        "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_lines", "n_ellipsis_lines", "n_stop_words")
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+              "n_lines", "n_ellipsis_lines", "n_stop_words")
+    rows = judge(docs.select("doc_id", "text"), rules)
+    return rows.select("doc.doc_id", *[F.col(f"quality.{f}").alias(f) for f in fields])
 
 
 def oracle_sql(rules: tuple[Rule, ...] = RULES) -> str:
