@@ -148,17 +148,18 @@ def account_at(text: str, at: int, word: str) -> tuple[int, int] | None:
     if start == at + len(word):
         return None
     end = _run(text, start, IDENTIFIER)
-    if word == "iban":  # may be written in groups of four
-        while end - start < 42 and end + 1 < len(text) and text[end] == " " and text[end + 1] in IDENTIFIER:
-            more = _run(text, end + 1, IDENTIFIER)
-            if not any(c in DIGITS for c in text[end + 1:more]):
+    if word == "iban":  # may be written in groups of up to four; the longest that passes the test counts
+        ends = [end]
+        while ends[-1] - start < 42 and text[ends[-1]:ends[-1] + 1] == " ":
+            more = _run(text, ends[-1] + 1, IDENTIFIER)
+            if not 1 <= more - ends[-1] - 1 <= 4:
                 break
-            end = more
-    value = text[start:end].replace(" ", "").strip("-")
+            ends.append(more)
+        end = next((e for e in reversed(ends) if iban(text[start:e].replace(" ", ""))), None)
+        return (start, end) if end else None
+    value = text[start:end].strip("-")
     if not 4 <= len(value) <= 34 or not any(c in DIGITS for c in value):
         return None
-    if word == "iban" and not iban(value):
-        return None
     return start, end
 
 
