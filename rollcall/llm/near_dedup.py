@@ -30,6 +30,8 @@ are members like any other, and :func:`deduplicate` keeps exactly one row of a c
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -226,8 +228,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, registers: int = RE
             rest = stored(now.join(split.select("bucket"), "bucket"), "rest")
             pairs = rest.alias("x").join(rest.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & near("x", "y") & first_met)
         pairs = pairs.select(*ordered).distinct()
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested.append(pairs)
         links = verified(pairs, texts, similarity, width)
