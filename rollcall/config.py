@@ -43,8 +43,6 @@ class SyncConfig:
     batch_size: int = 20
     # The reference sums status + suspend flag; False applies the fix.
     legacy_suspend_rule: bool = False
-    # Max rows of a lookup that may be broadcast (checked before hinting, J11).
-    broadcast_max_rows: int = 100_000
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -151,5 +151,5 @@ def hashed_sample(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) ->
     The order is a hash of the key and seed, so it does not depend on the
     partitioning, unlike ``rand(seed)``.
     """
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+    h = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))).cast("binary"))
     return df.withColumn("__h", h).orderBy("__h", *key_cols).limit(n).drop("__h")

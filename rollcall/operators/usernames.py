@@ -19,8 +19,8 @@ This is the deterministic set form; candidates are ordered by
    suffix(k) = k + #{j : t_j − j < k}.  That count is a running sum over
    (value, kind) order — no loop over candidates, no pairs.
 6. Two stems can still meet (``ann1``+``1`` = ``ann``+``11``): clashing rows
-   after the first are re-allocated against everything taken so far, for a
-   bounded number of rounds; what is left is rejected, never dropped.
+   after the first are re-allocated against everything taken so far, round by
+   round until everybody has a name.
 
 Every step is a join, an aggregate or a range-partitioned numbering
 (``sequence_within`` / ``cumulative_within``), so one hugely popular name is
@@ -40,7 +40,6 @@ from rollcall.operators.ranking import cumulative_within, join_back, materialize
 _REJECT_TAKEN = "override taken"
 _REJECT_DUP = "override repeated"
 _REJECT_NAME = "no name"
-_REJECT_CLASH = "unresolved clash"
 
 
 def _mark(df: DataFrame, names: DataFrame, name_col: str, out: str) -> DataFrame:
@@ -104,8 +103,7 @@ def _suffix_round(need: DataFrame, taken: DataFrame, order_cols: Sequence[str])
             .withColumn("username", F.concat(F.col("__stem"), F.col("__suffix").cast("string"))))
 
 
-def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: Sequence[str],
-                       max_rounds: int = 3) -> DataFrame:
+def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """candidates: domain, given_name, family_name, middle_name, override, *order_cols
     existing:   domain, name (local parts already in use)
 
@@ -158,8 +156,9 @@ def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: S
     keep_cols = [*candidates.columns, "username"]
     placed = [d.select(*keep_cols) for d in done]
 
-    # (6) suffix rounds; rows whose name meets another stem's name go again.
-    for _ in range(max_rounds):
+    # (6) suffix rounds; rows whose name meets another stem's name go again, until
+    # nobody is left (each round places at least one row per clashing name).
+    while True:
         got = _suffix_round(need, taken, order_cols).select(*keep_cols, "__stem")
         ranked = materialize(_first_flag(got, ["domain", "username"], order_cols, "__won"))
         placed.append(ranked.filter(F.col("__won")).select(*keep_cols))
@@ -167,8 +166,6 @@ def allocate_usernames(candidates: DataFrame, existing: DataFrame, order_cols: S
         taken = taken.unionByName(ranked.filter(F.col("__won")).select("domain", F.col("username").alias("name")))
         if need.isEmpty():
             break
-    rejects.append(need.withColumn("username", F.lit(None).cast("string"))
-                   .withColumn("reject_reason", F.lit(_REJECT_CLASH)))
 
     ok = placed[0]
     for p in placed[1:]:

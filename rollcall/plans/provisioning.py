@@ -48,7 +48,7 @@ def provision(students: DataFrame, staff: DataFrame, accounts: DataFrame, orguni
         "changePasswordAtNextLogin": F.col("change_password") == 1,
         "includeInGlobalAddressList": F.col("global_addressbook") == 1,
         "orgUnitPath": F.col("ou_path"),
-        "externalIds": F.array(F.struct(F.lit("organization").alias("type"), F.col("user_type").alias("customType"),
+        "externalIds": F.array(F.struct(F.lit("custom").alias("type"), F.col("user_type").alias("customType"),
                                         F.col("external_uid").cast("string").alias("value"))),
     })
     return named.select("external_uid", "user_type", "username",

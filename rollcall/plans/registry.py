@@ -15,7 +15,6 @@ from rollcall.config import COHORT_GROUP, SCHOOL_GROUP
 from rollcall.operators import apply as ap
 from rollcall.operators import nested, responses
 from rollcall.operators.batches import batch_summary
-from rollcall.operators.lookup import bounded_broadcast
 from rollcall.operators.ranking import last_wins
 from rollcall.operators.usernames import allocate_usernames
 from rollcall.plans import accounts as acc
@@ -256,20 +255,20 @@ def _k2(tb: Testbed) -> DataFrame:
 
 @query("uid_linking")
 def _c5(tb: Testbed) -> DataFrame:
-    lookup = bounded_broadcast(readers.read_uid_lookup(tb.spark, tb.uid_lookup_path()), tb.cfg.broadcast_max_rows)
+    lookup = readers.read_uid_lookup(tb.spark, tb.uid_lookup_path())
     res = _resources(tb).select("google_id", "primary_email")
     linked = res.join(lookup, F.col("primary_email") == F.col("email"))
     fresh = linked.join(tb.accounts.select(F.col("primary_email").alias("a_email")),
                         F.col("primary_email") == F.col("a_email"), "left_anti")
     return fresh.select("google_id", "primary_email", F.col("uid").alias("new_external_uid"), "user_type",
-                        nested.external_ids_payload(F.lit("organization"), F.col("uid"),
+                        nested.external_ids_payload(F.lit("custom"), F.col("uid"),
                                                     F.col("user_type")).alias("payload"))
 
 
 @query("external_id_patch")
 def _c11(tb: Testbed) -> DataFrame:
     rows = readers.read_external_ids(tb.spark, tb.external_ids_path())
-    return rows.select("user_key", nested.external_ids_payload("id_type", "id_value").alias("payload"))
+    return rows.select("user_key", nested.external_ids_payload(F.lit("custom"), "id_value", "id_type").alias("payload"))
 
 
 def _devices(tb: Testbed) -> DataFrame:
@@ -283,8 +282,7 @@ def _k11(tb: Testbed) -> DataFrame:
 
 @query("device_patch")
 def _c9(tb: Testbed) -> DataFrame:
-    ids = bounded_broadcast(readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"])
-                            .withColumnRenamed("serialNumber", "d_serial"), tb.cfg.broadcast_max_rows)
+    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"]).withColumnRenamed("serialNumber", "d_serial")
     upd = tb.device_updates()
     j = upd.join(ids, F.col("serialNumber") == F.col("d_serial"), "left")
     patch = nested.sparse_patch({c: F.col(c) for c in ("annotatedUser", "annotatedAssetId", "annotatedLocation",

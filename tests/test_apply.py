@@ -85,20 +85,6 @@ def test_diff_then_apply_is_idempotent(spark):
     assert changed(desired, applied, ["id"], ["a", "b", "c"]).count() == 0
 
 
-def test_bounded_broadcast_only_within_bound(spark, capsys):
-    from rollcall.operators.lookup import bounded_broadcast
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big.join(bounded_broadcast(small, 100), "k").explain()
-        assert "BroadcastHashJoin" in capsys.readouterr().out
-        big.join(bounded_broadcast(small, 5), "k").explain()
-        assert "BroadcastHashJoin" not in capsys.readouterr().out
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_insert_and_semi_and_stale(spark):
     from rollcall.operators.reconcile import existing, stale
     from rollcall.plans.accounts import account_by_email

@@ -11,7 +11,7 @@ def san(x):
     return "".join(ch for ch in x if ch not in STRIP).lower()
 
 
-def simulate(cands, existing, rounds=3):
+def simulate(cands, existing):
     taken = {(d, n.lower()) for d, n in existing}
     out = {}
     cs = sorted(cands, key=lambda c: c["k"])
@@ -63,7 +63,7 @@ def simulate(cands, existing, rounds=3):
         else:
             need.append((c, c["alt"]))
     taken |= alt_claims
-    for _ in range(rounds):
+    while need:
         got, counters = [], {}
         for c, stem in sorted(need, key=lambda x: x[0]["k"]):
             kth = counters.get((c["d"], stem), 0) + 1
@@ -82,10 +82,6 @@ def simulate(cands, existing, rounds=3):
                 winners.add((c["d"], name))
                 out[c["k"]] = (name, None)
         taken |= winners
-        if not need:
-            break
-    for c, _ in need:
-        out[c["k"]] = (None, "unresolved clash")
     return out
 
 
@@ -129,6 +125,14 @@ def test_unique_and_free_per_domain(spark):
     assert len(got) == len(cands)  # nothing dropped
 
 
+def test_stems_that_meet_name_everybody(spark):
+    """Stems a, a1 and a11 run into each other again and again; nobody is rejected and no name is given twice."""
+    cands = [dict(k=k, d="a.org", g="a", f=["", "1", "11"][k % 3], m=None, ov=None) for k in range(300)]
+    got = _spark(spark, cands, [])
+    names = [u for u, _ in got.values()]
+    assert None not in names and len(set(names)) == len(cands)
+
+
 def test_stable_under_input_order(spark):
     cands, existing = _case(5)
     a = _spark(spark, cands, existing)
