@@ -23,6 +23,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from rollcall.llm.common import map_arrow
 
@@ -171,6 +172,7 @@ def iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
 
 
+_SPANS = ArrayType(StructType().add("kind", StringType()).add("start", IntegerType()).add("end", IntegerType()))
 _AUTOMATON = _automaton()
 
 
@@ -237,7 +239,7 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(kind))], ["doc", "spans"])
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"].cast("string").alias("text"))
-    return map_arrow(rows, run, rows.drop("text").schema.add("spans", "array<struct<kind:string,start:int,end:int>>"))
+    return map_arrow(rows, run, rows.drop("text").schema.add("spans", _SPANS))
 
 
 def masked(docs: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:
