@@ -8,7 +8,8 @@ most ``limit_bits``, so one table of 2^limit entries decodes any code in one ste
 Blocks decode independently, and within a block all checkpoints decode side by side, in 64 table steps.
 
 Encoding ids: chunks between blanks are encoded by the tokenizers library and remembered for the rows that follow
-(a tokenizer whose splits never cross a blank, as here; ``by_chunk=False`` encodes whole texts).
+(a tokenizer whose splits never cross a blank nor keep a letter and a stop behind it together, as here;
+``by_chunk=False`` encodes whole texts).
 
 Scale: texts are tokenized where they are read and never shuffled; ids travel once, sorted by range of
 (doc_id, hash, row number), so equal doc_ids spread too.  Counts are summed per task before the shuffle; only the
@@ -24,6 +25,7 @@ import os
 import uuid
 import zlib
 from dataclasses import dataclass
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import map_arrow, stored
 from rollcall.session import ensure_checkpoint_dir
 
-END_ID, STRIDE, BLOCK_TOKENS, CHUNKS_KEPT = 1, 64, 1 << 18, 200_000
+END_ID, STRIDE, BLOCK_TOKENS, CHUNKS_KEPT = 1, 64, 1 << 18, 400_000
+STOPS = ".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -45,33 +48,83 @@ def default_tokenizer() -> str:
 # ---------------------------------------------------------------- text to ids
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by a file of the tokenizers library."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, by a file of the tokenizers library.
+
+    ``recent`` and ``older`` remember chunks: when ``recent`` holds ``keep`` it takes the place of ``older``, and a
+    chunk found there moves back, so frequent chunks stay and memory is bounded by twice ``keep``.
+    """
 
     def __init__(self, path: str, by_chunk: bool = True, keep: int = CHUNKS_KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_chunk, self.keep = Tokenizer.from_file(path), by_chunk, keep
-        self.known: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: one text of all of them, cut behind the ids that end a word.
+
+        A word of letters makes at least one such id, so as many of them as words means one each; else (a letter
+        that falls apart in lower case, a vocabulary without word ends) the words are encoded one by one.
+        """
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
+            return self._library(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in pairwise([0, *ends.tolist()])]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(accumulate((4 * len(i) for i in ids), initial=0))
+        return [raw[a:b] for a, b in pairwise(ends)]
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """The ids of chunks that ``recent`` lacks; a word and the ASCII stops behind it are looked up apart."""
+        if len(self.recent) + len(chunks) > self.keep:
+            self.older, self.recent = self.recent, {}
+        found, unknown, stopped = {}, set(), []
+        for chunk in chunks:
+            ids = self.older.get(chunk)
+            if ids is not None:
+                found[chunk] = ids
+                continue
+            word = chunk.rstrip(STOPS)
+            if word != chunk and word and word[-1].isalnum():
+                stopped.append((chunk, word, chunk[len(word):]))
+                unknown.update(stopped[-1][1:])
+            else:
+                unknown.add(chunk)
+        parts = {}
+        for part in unknown:
+            ids = self.recent.get(part) or self.older.get(part) or found.get(part)
+            if ids is not None:
+                parts[part] = ids
+        words = [part for part in unknown if part not in parts and part.isalpha()]
+        parts.update(zip(words, self._words(words)))
+        others = [part for part in unknown if part not in parts]
+        parts.update(zip(others, self._library(others)))
+        for chunk, word, stops in stopped:
+            found[chunk] = parts[word] + parts[stops]
+        found.update(parts)
+        self.recent.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
             return self._library(texts)
+        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         out = []
-        for text in texts:
-            chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            ids = list(map(self.known.get, chunks))
+        for chunks in split:
+            ids = list(map(self.recent.get, chunks))
             if None in ids:
-                new = list({c for c, i in zip(chunks, ids) if i is None})
-                if len(self.known) + len(new) > self.keep:
-                    self.known = {}
-                    new = list(set(chunks))
-                self.known.update(zip(new, self._library(new)))
-                ids = [self.known[c] for c in chunks]
+                known = self._learn({c for c, i in zip(chunks, ids) if i is None})
+                ids = [known[c] if i is None else i for c, i in zip(chunks, ids)]
             out.append(b"".join(ids))
         return out
 
