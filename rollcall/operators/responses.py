@@ -12,6 +12,9 @@ tables joined on ``request_id``; every request gets one outcome:
 * ``unresolved``– 409 with nothing stored under that address;
 * ``rejected``  – any other status;
 * ``pending``   – no response landed yet.
+
+``unique_attribute``, ``department_id`` and ``group_type`` are known to the store alone, so requests carry them: a
+created group takes them from its request, a group that exists keeps its own and takes those it lacks.
 """
 
 from __future__ import annotations
@@ -20,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+STORE_FIELDS = ("unique_attribute", "department_id", "group_type")
+
+
 def route_group_responses(requests: DataFrame, responses: DataFrame, groups: DataFrame) -> DataFrame:
     """Outcome per insert-group request with the group row to store."""
     existing = (groups.filter(F.col("group_email").isNotNull()).groupBy("group_email")
-                .agg(F.min(F.struct("google_groupid", "group_name", "description", "etag")).alias("g"))
+                .agg(F.min(F.struct("google_groupid", "group_name", "description", "etag", *STORE_FIELDS)).alias("g"))
                 .select(F.col("group_email").alias("x_email"), "g"))
     j = (requests.alias("rq")
          .join(responses.alias("rs"), F.col("rq.request_id") == F.col("rs.request_id"), "left")
@@ -41,19 +47,21 @@ def route_group_responses(requests: DataFrame, responses: DataFrame, groups: Dat
     name = (F.when(ok, F.coalesce(F.col("rs.body.name"), F.col("rq.name")))
             .when(conflict & F.col("x_email").isNotNull(), F.coalesce(F.col("g.group_name"), F.col("rq.name"))))
     etag = F.when(ok, F.col("rs.body.etag")).when(conflict, F.col("g.etag"))
+    own = [F.when(ok, F.col(f"rq.{f}")).when(conflict & F.col("x_email").isNotNull(),
+                                             F.coalesce(F.col(f"g.{f}"), F.col(f"rq.{f}"))).alias(f) for f in STORE_FIELDS]
     return j.select(F.col("rq.request_id").alias("request_id"), status.alias("status"), outcome.alias("outcome"),
                     gid.alias("google_groupid"), email.alias("group_email"), name.alias("group_name"),
                     F.when(ok, F.col("rq.description"))
                     .when(conflict & F.col("x_email").isNotNull(),
                           F.coalesce(F.col("g.description"), F.col("rq.description"))).alias("description"),
-                    etag.alias("etag"))
+                    etag.alias("etag"), *own)
 
 
 def applied_groups(routed: DataFrame) -> DataFrame:
     """The rows to upsert into the group store (created + exists), one per
     group id: when several requests resolve to the same stored group, the
     earliest request wins (a partial aggregate, no per-group collection)."""
-    row = F.struct("group_email", "group_name", "description", "etag")
+    row = F.struct("group_email", "group_name", "description", "etag", *STORE_FIELDS)
     return (routed.filter(F.col("outcome").isin("created", "exists"))
             .groupBy("google_groupid").agg(F.min_by(row, F.col("request_id")).alias("r"))
             .select("google_groupid", "r.*"))

@@ -36,6 +36,16 @@ def collapse_new_groups(new_groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     return requests, rejects
 
 
+def section_group_requests(sections: DataFrame, groups: DataFrame) -> DataFrame:
+    """The insert-group requests of the section outbox by request id, with the fields that only the store keeps;
+    ``responses.route_group_responses`` takes them with the landed responses."""
+    new_groups, _ = collapse_new_groups(grp.section_groups_missing(sections, groups))
+    return new_groups.select(F.concat(F.lit("insert_group:"), F.col("group_email")).alias("request_id"),
+                             F.col("group_email").alias("email"), F.col("group_name").alias("name"),
+                             F.col("group_description").alias("description"), "unique_attribute", "department_id",
+                             F.lit(grp.SECTION_GROUP).alias("group_type"))
+
+
 def member_payload() -> F.Column:
     return F.struct(F.col("google_groupid").alias("groupKey"), F.col("google_id").alias("memberKey"),
                     F.col("role").alias("role"))

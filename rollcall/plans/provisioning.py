@@ -2,7 +2,8 @@
 
 new accounts (Q03) ⋈ candidate records (Q10/Q12) → suspended ones skipped →
 usernames allocated per domain against the stored addresses (C2) → request
-payload (N3) → outbox rows; rejected candidates keep their reason.
+payload (N3) → outbox rows; rejected candidates keep their reason, and a new person whose school and grade have no
+org unit is rejected as ``no org unit``: rows out are as many as new accounts.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ def candidates(students: DataFrame, staff: DataFrame, accounts: DataFrame, orgun
     """One candidate record per new (external_uid, user_type); a person with
     several stage rows (tied latest enrolments) keeps the smallest record."""
     new = acc.new_accounts(students, staff, accounts, cfg)
-    recs = acc.student_candidates(students, orgunits).unionByName(acc.staff_candidates(staff, cfg))
+    recs = (acc.student_candidates(students, orgunits).unionByName(acc.staff_candidates(staff, cfg))
+            .filter(F.col("suspended") == 0))
     rec = F.struct("email_override", "given_name", "family_name", "middle_name", "suspended", "change_password",
                    "global_addressbook", "ou_path")
     one = recs.groupBy("external_uid", "user_type").agg(F.min(rec).alias("r")).select(
@@ -35,7 +37,8 @@ def candidates(students: DataFrame, staff: DataFrame, accounts: DataFrame, orgun
 def provision(students: DataFrame, staff: DataFrame, accounts: DataFrame, orgunits: DataFrame,
               cfg: SyncConfig) -> DataFrame:
     c = candidates(students, staff, accounts, orgunits, cfg)
-    active = c.filter(F.col("suspended") == 0).withColumnRenamed("email_override", "override")
+    active = c.withColumnRenamed("email_override", "override")
+    unplaced = acc.new_accounts(students, staff, accounts, cfg).join(c, ["external_uid", "user_type"], "left_anti")
     existing = (accounts.filter(F.col("primary_email").isNotNull())
                 .select(domain_part("primary_email").alias("domain"), local_part("primary_email").alias("name")))
     named = allocate_usernames(active, existing, ["user_type", "external_uid"])
@@ -51,7 +54,11 @@ def provision(students: DataFrame, staff: DataFrame, accounts: DataFrame, orguni
         "externalIds": F.array(F.struct(F.lit("custom").alias("type"), F.col("user_type").alias("customType"),
                                         F.col("external_uid").cast("string").alias("value"))),
     })
-    return named.select("external_uid", "user_type", "username",
-                        F.when(F.col("username").isNotNull(), email).alias("primary_email"),
-                        "reject_reason",
-                        F.when(F.col("username").isNotNull(), body).alias("payload"))
+    out = named.select("external_uid", "user_type", "username",
+                       F.when(F.col("username").isNotNull(), email).alias("primary_email"),
+                       "reject_reason",
+                       F.when(F.col("username").isNotNull(), body).alias("payload"))
+    nothing = F.lit(None).cast("string")
+    return out.unionByName(unplaced.select(
+        "external_uid", "user_type", nothing.alias("username"), nothing.alias("primary_email"),
+        F.lit("no org unit").alias("reject_reason"), nothing.alias("payload")))

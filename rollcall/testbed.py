@@ -544,7 +544,9 @@ class Testbed:
             " ELSE concat('grp', CAST(o_orderkey AS STRING), '@groups.example.org') END AS email",
             "concat('Group ', CAST(o_orderkey AS STRING)) AS name",
             "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE concat('Desc ', CAST(o_orderkey AS STRING)) END"
-            " AS description")
+            " AS description",
+            "CAST(o_orderkey AS STRING) AS unique_attribute", "CAST(n_nationkey AS INT) AS department_id",
+            "'StudentSection' AS group_type")
 
     def _v_group_responses(self) -> DataFrame:
         return self.raw("orders").where("o_orderkey % 7 <> 6").selectExpr(
