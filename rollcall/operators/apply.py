@@ -14,7 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 
 def _key_cond(a: DataFrame, b: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -48,14 +48,25 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     ``supplied_col`` (array<string>), when the row lists it, which tells
     "not supplied" from "supplied NULL".  ``changes`` must be unique per key.
     """
+    return _merge(target, changes, keys, supplied_col, "full_outer")
+
+
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0, or for a NULL key (which matches nothing) a hash of the row, so that such rows share no task in a join."""
+    atoms = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(no_key, F.xxhash64(*atoms)).otherwise(F.lit(0).cast("long"))
+
+
+def _merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], supplied_col: str | None, how: str) -> DataFrame:
     value_cols = [c for c in target.columns if c not in keys]
     ch_cols = [c for c in changes.columns if c not in keys and c != supplied_col]
     ch = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                         *[F.col(c).alias(f"__v_{c}") for c in ch_cols],
                         *([F.col(supplied_col).alias("__sup")] if supplied_col else []),
-                        F.lit(True).alias("__has"))
-    t = target.withColumn("__in_t", F.lit(True))
-    j = t.join(ch, _key_cond(t, ch, keys, "__k_"), "full_outer")
+                        F.lit(True).alias("__has"), _spread(changes, keys).alias("__ch_spread"))
+    t = target.withColumn("__spread", _spread(target, keys))
+    j = t.join(ch, _key_cond(t, ch, keys, "__k_") & (t["__spread"] == ch["__ch_spread"]), how)
     out = [F.coalesce(F.col(k), F.col(f"__k_{k}")).alias(k) for k in keys]
     for c in value_cols:
         if c not in ch_cols:
@@ -72,8 +83,7 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 def update(target: DataFrame, changes: DataFrame, keys: Sequence[str],
            supplied_col: str | None = None) -> DataFrame:
     """K4: like :func:`upsert` but keys absent from the target are ignored."""
-    existing = changes.join(target.select(*keys), list(keys), "left_semi")
-    return upsert(target, existing, keys, supplied_col)
+    return _merge(target, changes, keys, supplied_col, "left")
 
 
 def update_or_insert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def portal_export(accounts: DataFrame, students: DataFrame) -> DataFrame:
         text.left(text.strip_blanks(F.concat("bu_given", F.col("student_number").cast("string"))), 20).alias("web_id"),
         F.col("primary_email").alias("email_address"),
         F.col("bu_family").alias("family_name"))
-        .orderBy("family_name"))
+        .orderBy("family_name", "student_number"))
 
 
 def account_listing(accounts: DataFrame, user_type: str | None = None,
