@@ -409,3 +409,14 @@ def test_chat_format(spark):
             source = next(t[3] for t in turns if t[0] == conv and t[1] == r.turn and (t[2] == r.role_in))
             assert (source or "") in r.rendered
     assert chat_format.report(df.limit(0)).count() == 0
+
+
+def test_remembered_chunks_equal_whole_texts():
+    from rollcall.llm.token_files import Encoder, default_tokenizer
+
+    texts = ["a.,b  c!!", "İi İİ ab cd", "J̌. x", "<|endoftext|>. hi.", "don't. it's, 12.5, x.́ y", ".. ,", "", "½. x².",
+             "Σ. ΑΣ, é. é.", "!?x?!", "one two. three, two one!"] * 3
+    whole = Encoder(default_tokenizer(), by_chunk=False).encode(texts)
+    for keep in (1, 5, 1_000):
+        chunked = Encoder(default_tokenizer(), keep=keep)
+        assert [chunked.encode([t])[0] for t in texts] == whole
