@@ -1,11 +1,12 @@
 """Operator 4: near duplicates by ProbMinHash, banding and exact verification.
 
-Method.  A text is the weighted set of its five-word shingles (weight 1 + ln(count); a text of fewer words, but
-not none, is one shingle).  ProbMinHash1a draws for each shingle a Poisson process of arrivals with rate equal to
-its weight; each arrival picks one of ``registers`` registers, which keeps its earliest arrival's shingle.  A
-shingle stops as soon as its next arrival is later than every register of its text, so most shingles draw once.
-Two texts agree in a register with the probability Jaccard of their weighted sets.  Bands of ``rows`` registers
-make the buckets; pairs that meet in a bucket are verified by the exact Jaccard of their shingle sets.
+Method.  A text is the set of its five-word shingles (a text of fewer words, but not none, is one shingle).
+ProbMinHash1a draws for each shingle a Poisson process of arrivals with rate equal to its weight; each arrival picks
+one of ``registers`` registers, which keeps its earliest arrival's shingle.  A shingle stops as soon as its next
+arrival is later than every register of its text, so most shingles draw once.  Two texts agree in a register with
+the probability Jaccard of their weighted sets.  Every shingle weighs 1, however often it stands in its text, so
+this is the plain Jaccard of the sets, which defines a link.  Bands of ``rows`` registers make the buckets; pairs
+that meet in a bucket are verified by the exact Jaccard of their shingle sets.
 
 No pairs within a group.  The nodes are distinct texts (identical texts collapse by their md5 first).  In each of
 ``pivot_rounds`` rounds every bucket that still holds two or more components compares one pivot with its members
@@ -14,7 +15,7 @@ each round.  Then all pairs left across components of a bucket are compared.  So
 one component or have been compared: no link is lost to the pivots.  A pair is compared by its shingles
 unless its set sizes alone rule the similarity out, or its registers disagree far too often (two bits of each
 of 256 registers; a pair is passed over only where the estimate lies ``sigmas`` = 3 standard deviations below
-the similarity: a chance of 1e-3 for a pair at the threshold, 1e-4 at 0.82).  A pair that shares several
+the similarity: a chance of 2e-3 for a pair at the threshold, 2e-4 at 0.82).  A pair that shares several
 buckets is compared in one.  With 25 bands of 5 registers a pair at 0.8 shares a bucket with probability 1 - 5e-5, at
 0.9 practically always.
 
@@ -130,8 +131,8 @@ def signatures(docs: DataFrame, registers: int = REGISTERS, bands: int = BANDS,
             buf, offsets = utf8(batch.column(1))
             sizes, keys, lengths, sketches = [], [], [], [np.zeros((0, per_row), np.int64)]
             for a, b in slices(offsets):
-                row, key, count = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
-                kept = prob_min_hash(row, key, 1.0 + np.log(count), b - a, registers)
+                row, key, _ = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
+                kept = prob_min_hash(row, key, np.ones(len(key)), b - a, registers)
                 size = np.bincount(row, minlength=b - a)
                 sizes.append(size)
                 sketches.append(sketch(kept))

@@ -209,6 +209,18 @@ def test_near_dedup(docs, rows, empty):
     assert near_dedup.report(empty).count() == 0 and near_dedup.deduplicate(empty).count() == 0
 
 
+def test_near_dedup_repeated_unshared_passages(spark):
+    """Pairs of plain Jaccard 0.89 of which one text repeats a passage (a footer, a menu) that the other lacks."""
+    rnd = random.Random(6)
+    made = []
+    for i in range(40):
+        shared = [f"s{i}x{rnd.randrange(10**6)}" for _ in range(104)]
+        footer = [f"f{i}x{k}" for k in range(8)] * (30 if i % 2 else 300)
+        made += [(2 * i, " ".join(shared)), (2 * i + 1, " ".join(shared + footer))]
+    got = near_dedup.report(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_class) for r in got) == [(d, d // 2 * 2, 2) for d in range(80)]
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     keys = rng.integers(1, 2**53, 400).astype(np.uint64)
