@@ -9,7 +9,8 @@ Blocks decode independently, and within a block all checkpoints decode side by s
 
 Encoding ids: chunks between blanks are encoded by the tokenizers library and remembered for the rows that follow
 (a tokenizer whose splits never cross a blank nor keep a letter and a stop behind it together, as here;
-``by_chunk=False`` encodes whole texts).
+``by_chunk=False`` encodes whole texts).  A letter that NFC or lower case turns into a letter and a mark keeps
+its stops, as the mark joins them.
 
 Scale: texts are tokenized where they are read and never shuffled; ids travel once, sorted by range of
 (doc_id, hash, row number), so equal doc_ids spread too.  Counts are summed per task before the shuffle; only the
@@ -22,6 +23,7 @@ ordered by their ids, and repeated rows stay.  An empty table makes an empty fil
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -47,6 +49,12 @@ def default_tokenizer() -> str:
 
 # ---------------------------------------------------------------- text to ids
 
+def ends_apart(word: str) -> bool:
+    """True if the word's last character stays a letter or digit at its end after NFC and lower-casing."""
+    last = word[-1:]
+    return last.isalnum() and (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalnum())
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, by a file of the tokenizers library.
 
@@ -95,7 +103,7 @@ class Encoder:
                 found[chunk] = ids
                 continue
             word = chunk.rstrip(STOPS)
-            if word != chunk and word and word[-1].isalnum():
+            if word != chunk and ends_apart(word):
                 stopped.append((chunk, word, chunk[len(word):]))
                 unknown.update(stopped[-1][1:])
             else:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import unicodedata
 import zlib
 
 import brute
@@ -432,3 +433,16 @@ def test_remembered_chunks_equal_whole_texts():
     for keep in (1, 5, 1_000):
         chunked = Encoder(default_tokenizer(), keep=keep)
         assert [chunked.encode([t])[0] for t in texts] == whole
+
+
+def test_stops_behind_letters_that_fall_apart():
+    """Letters that NFC or lower case turns into a letter and a mark, which joins the stop behind it."""
+    from rollcall.llm.token_files import Encoder, default_tokenizer
+
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()
+               and not re.fullmatch(r"\w+", unicodedata.normalize("NFC", chr(c)).lower())]
+    assert {"\u0130", "\u0958", "\u09df", "\u0a33", "\ufb1d"} <= set(letters)
+    texts = ["HAKKAR\u0130, \u09b9\u09df, HAKKAR\u0130"] + [f"{c}, a{c}.: {c}" for c in letters]
+    whole = Encoder(default_tokenizer(), by_chunk=False).encode(texts)
+    chunked = Encoder(default_tokenizer())
+    assert [chunked.encode([t])[0] for t in texts] == whole
