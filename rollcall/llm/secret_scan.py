@@ -1,8 +1,9 @@
 """Operator 3: secrets, by fixed patterns and by two character Markov models, in DataFrame functions only.
 
 Base spans are the leftmost non-overlapping matches of three patterns (assignments, access keys, hex runs).  The
-method adds runs of 20 or more key characters with a letter and a digit that a first-order Markov model of random
-strings explains better than one of ordinary identifiers.  Both models are counts of neighbouring characters in
+method adds runs of 20 or more key characters with a letter that a first-order Markov model of random strings explains
+better than one of ordinary identifiers; of a run that base spans touch, the parts left and right of them are judged,
+each as a run of its own.  Both models are counts of neighbouring characters in
 labelled samples; their add-one log-likelihood ratios are rounded to thousandths, so a token's score is a
 sum of integers, the same on every machine.  :func:`samples` labels tokens: random strings are digests in
 several alphabets, ordinary ones the words and identifiers of ``sample_docs`` documents (the first by hash).
@@ -83,6 +84,24 @@ def train(labelled: DataFrame) -> list[int]:
     return table
 
 
+def parts(runs: Column, base: Column) -> Column:
+    """What base spans (in ascending order) leave of each run, as (start, end, value)."""
+    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+
+    def left(run: Column) -> Column:
+        def step(acc: Column, b: Column) -> Column:
+            gap = F.array(F.struct(acc["at"].alias("start"), F.least(b["start"], run["end"]).alias("end")))
+            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["free"], gap).alias("free"))
+
+        near = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+        free = F.aggregate(near, F.struct(run["start"].alias("at"), empty.alias("free")), step, lambda acc: F.concat(
+            acc["free"], F.array(F.struct(acc["at"].alias("start"), run["end"].alias("end")))))
+        return F.transform(F.filter(free, lambda p: p["start"] < p["end"]), lambda p: F.struct(
+            p["start"].alias("start"), p["end"].alias("end"), F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value")))
+
+    return F.flatten(F.transform(runs, left))
+
+
 def score(token: Column, table: list[int]) -> Column:
     ratios = F.from_json(F.lit(json.dumps(table)), "array<int>")
     return F.aggregate(_steps(token), F.lit(0), lambda a, s: a + F.get(ratios, s))
@@ -102,9 +121,8 @@ def scan(docs: DataFrame, table: list[int] | None, threshold: int = THRESHOLD, t
         tag(assign, 0), tag(matches(F.col("t"), ACCESS), 1), tag(matches(F.col("t"), HEX), 2))).alias("base"))
     if table is None:
         return rows.select("doc", "base", F.col("base").alias("spans"))
-    mixed = F.filter(matches(F.col("t"), KEYLIKE), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    rows = rows.select("doc", "base", mixed.alias("tokens"))
-    free = F.filter("tokens", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    rows = rows.select("doc", "base", matches(F.col("t"), KEYLIKE).alias("runs"))
+    free = F.filter(parts(F.col("runs"), F.col("base")), lambda s: (s["end"] - s["start"] >= 20) & s["value"].rlike("[A-Za-z]"))
     found = F.filter(free, lambda s: score(s["value"], table) >= threshold)
     return rows.select("doc", "base", F.sort_array(F.concat("base", tag(found, 3))).alias("spans"))
 

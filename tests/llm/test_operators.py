@@ -117,6 +117,21 @@ def test_secret_model(docs):
     assert sum(r.hit for r in got if r.label) >= 190 and not any(r.hit for r in got if not r.label)
 
 
+def test_secret_runs_of_letters_and_beside_base_spans(docs):
+    """The whole scan, gates included."""
+    table_ = secret_scan.train(secret_scan.samples(docs.select("doc_id", "text")))
+    rnd = random.Random(7)
+    letters = ["".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(28)) for _ in range(100)]
+    key = "wJalrXUtnFEMIbK7MDENGbPxRfiCYqTzLpKcHvQs"
+    beside = {"AKIA" + "Z9" * 8 + "/" + key: "access:0:20,markov:20:61", "id=" + "0a" * 12 + "/" + key: "hex:3:27,markov:27:68",
+              key + "/" + "0a" * 12 + "/" + key: "markov:0:41,hex:41:65,markov:65:106", "0a" * 12 + "/short1": "hex:0:24",
+              "Donaudampfschifffahrtsgesellschaftskapitaen": "", "-" * 30: ""}
+    rows_ = docs.sparkSession.createDataFrame([(t,) for t in [*letters, *beside]], "text string")
+    got = {r.text: r.spans for r in secret_scan.scan(rows_, table_).select("doc.text", secret_scan.joined("spans").alias("spans")).collect()}
+    assert {t: got[t] for t in beside} == beside
+    assert sum(got[t] == "markov:0:28" for t in letters) >= 95, sum(got[t] == "markov:0:28" for t in letters)
+
+
 def test_pii(docs, rows, empty):
     found = {}
     for r in pii.report(docs).collect():
