@@ -80,16 +80,16 @@ def matchers(windows: dict[tuple, set]) -> list[WuManber]:
 
 
 def window_blocks(items: Iterable, width: int, block_windows: int) -> Iterator[dict[tuple, set]]:
-    """Windows with their item ids, in blocks of about ``block_windows``."""
+    """Windows with their item ids, in blocks of at most ``block_windows``, whatever an item holds."""
     block: dict[tuple, set] = {}
     for item_id, text in items:
         words = words_of(text)
         ids = set() if item_id is None else {str(item_id)}
         for i in range(max(1, len(words) - width + 1) if words else 0):
             block.setdefault(tuple(words[i:i + width]), set()).update(ids)
-        if len(block) >= block_windows:
-            yield block
-            block = {}
+            if len(block) >= block_windows:
+                yield block
+                block = {}
     if block:
         yield block
 

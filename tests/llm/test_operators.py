@@ -80,6 +80,17 @@ def test_decontaminate(spark, docs, rows, empty):
     assert decontaminate.report(docs, bench.limit(0)).where("n_hit > 0 or contaminated").count() == 0
 
 
+def test_decontaminate_blocks_are_bounded_within_an_item():
+    items = [(1, " ".join(f"w{i}" for i in range(112))), (2, "w5 w6"), (3, " ".join(f"w{i}" for i in range(20)))]
+    blocks = list(decontaminate.window_blocks(items, 13, 30))
+    assert [len(b) for b in blocks] == [30, 30, 30, 19]
+    merged = {}
+    for block in blocks:
+        for window, ids in block.items():
+            merged.setdefault(window, set()).update(ids)
+    assert merged == next(decontaminate.window_blocks(items, 13, 1_000))
+
+
 def test_secret_base_spans(docs, rows, empty):
     either = lambda s: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in s)
     names = "|".join(either(s) for s in ("password", "passwd", "secret", "token")) + "|" + either("api") + "_?" + either("key")
