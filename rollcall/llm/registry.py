@@ -6,8 +6,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import (chat_format, decontaminate, mixing, near_dedup, pii, quality_rules, secret_scan, token_files,
-                          token_lengths, toxicity)
+from rollcall.llm import (chat_format, decontaminate, hard_negatives, mixing, near_dedup, pii, quality_rules, secret_scan,
+                          token_files, token_lengths, toxicity, whitening)
 from rollcall.llm.common import table
 
 
@@ -27,9 +27,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": _over(toxicity.report, "documents", "labels"),
     "op9_mixing": _over(mixing.report, "documents"),
     "op10_token_lengths": _over(token_lengths.report, "documents"),
+    "op11_whitening": _over(whitening.report, "embeddings"),
+    "op13_hard_negatives": _over(hard_negatives.report, "embeddings"),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op6_quality_rules": quality_rules.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
