@@ -6,8 +6,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import (chat_format, decontaminate, hard_negatives, mixing, near_dedup, pii, quality_rules, secret_scan,
-                          token_files, token_lengths, toxicity, whitening)
+from rollcall.llm import (chat_format, decontaminate, hard_negatives, jaccard_join, mixing, near_dedup, pii, quality_rules,
+                          secret_scan, token_files, token_lengths, toxicity, whitening)
 from rollcall.llm.common import table
 
 
@@ -28,11 +28,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": _over(mixing.report, "documents"),
     "op10_token_lengths": _over(token_lengths.report, "documents"),
     "op11_whitening": _over(whitening.report, "embeddings"),
+    "op12_jaccard_join": _over(jaccard_join.report, "documents"),
     "op13_hard_negatives": _over(hard_negatives.report, "embeddings"),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op6_quality_rules": quality_rules.oracle_sql(),
+    "op12_jaccard_join": jaccard_join.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
