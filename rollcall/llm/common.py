@@ -51,8 +51,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back.
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a fresh folder below ``spark.checkpoint.dir``; the table read back, and the folder.
 
     Cuts the lineage: what follows reads files that every executor can reach, so a lost executor
     costs only its running tasks.
@@ -60,7 +60,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """:func:`staged` for a table that stays."""
+    return staged(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`staged` wrote, once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
