@@ -86,6 +86,46 @@ def update(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     return _merge(target, changes, keys, supplied_col, "left")
 
 
+def row_version(columns: Sequence[str]) -> Column:
+    """A hash of a row's values (nulls and blanks differ), read along with the row and compared before it is written."""
+    return F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
+def compare_and_set(target: DataFrame, changes: DataFrame, keys: Sequence[str], version: str = "read_version") -> DataFrame:
+    """K4 where others write too: ``changes`` hold only where the target row still is as it was read.
+
+    ``changes`` has the keys (unique), the new values by column name and ``version``, the :func:`row_version` over the
+    target's columns that was read with the row.  One full join returns the rows of the next snapshot and of the refused changes
+    together: ``outcome`` is null for rows without a change, ``updated``, ``conflict`` (the row changed meanwhile: it stays
+    as it is) or ``gone`` (no such row any more: no snapshot row).  See :func:`snapshot_of` and :func:`conflicts_of`.
+    """
+    values = [c for c in changes.columns if c not in (*keys, version)]
+    ch = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(v).alias(f"__v_{v}") for v in values],
+                        F.col(version).alias("__read"), F.lit(True).alias("__has"))
+    now = target.withColumn("__now", row_version(target.columns))
+    j = now.join(ch, _key_cond(now, ch, keys, "__k_"), "full_outer")
+    outcome = (F.when(F.col("__has").isNull(), F.lit(None).cast("string")).when(F.col("__now").isNull(), F.lit("gone"))
+               .when(F.col("__now") == F.col("__read"), F.lit("updated")).otherwise(F.lit("conflict")))
+    out = [F.coalesce(F.col(k), F.col(f"__k_{k}")).alias(k) for k in keys]
+    for c in target.columns:
+        if c not in keys:
+            out.append(F.when(F.col("outcome") == "updated", F.col(f"__v_{c}").cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+                       if c in values else F.col(c))
+    return j.withColumn("outcome", outcome).select(*out, *[F.col(f"__v_{v}").alias(f"new_{v}") for v in values], "outcome").select(
+        *target.columns, *[f"new_{v}" for v in values], "outcome")
+
+
+def snapshot_of(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The next snapshot after :func:`compare_and_set`."""
+    return found.filter(~F.col("outcome").eqNullSafe("gone")).select(*columns)
+
+
+def conflicts_of(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The changes that were not made, with the values they would have set."""
+    wanted = [c for c in found.columns if c.startswith("new_")]
+    return found.filter(F.col("outcome").isin("conflict", "gone")).select(*keys, *wanted, "outcome")
+
+
 def update_or_insert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K5: the change rows with the action they take ('update' for a known
     business key, 'insert_unmanaged' otherwise) — the log the reference writes."""

@@ -16,10 +16,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.operators.ranking import sequence_within
+from rollcall.operators.ranking import join_back, materialize, sequence_within
+
+#: The order of delivery: a group is there before its members, and empty before it goes.
+LEVELS = ("insert_group", "insert_member", "delete_member", "delete_group")
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,33 @@ def outbox(change_sets: Sequence[ChangeSet], batch_size: int = 20) -> DataFrame:
         "payload")
 
 
+def ordered_outbox(change_sets: Sequence[ChangeSet], batch_size: int = 20) -> DataFrame:
+    """One outbox of all actions whose batches, delivered by number, never overtake what they need.
+
+    The action is the level (``LEVELS``).  Rows are numbered within their level in one range-partitioned pass; a level begins
+    with a batch of its own, numbered behind the last one of the levels before, so a batch holds one level and every request
+    has a lower batch than those that need it.  ``after_batch`` is the last batch that must be done before (null in the first
+    level).  A request that several change sets ask for (same action and key) is sent once.  Only the levels' sizes, a row
+    each, are summed outside the pass.
+    """
+    unknown = {cs.action for cs in change_sets} - set(LEVELS)
+    if unknown:
+        raise ValueError(f"no level for {sorted(unknown)}")
+    parts = [cs.rows.select(F.lit(LEVELS.index(cs.action)).alias("level"), F.lit(cs.action).alias("action"),
+                            request_key(cs.key_cols).alias("request_key"), F.to_json(cs.payload).alias("payload"))
+             for cs in change_sets]
+    once = reduce(DataFrame.unionByName, parts).groupBy("level", "action", "request_key").agg(F.min("payload").alias("payload"))
+    numbered = materialize(sequence_within(materialize(once), ["level"], ["request_key"], out="seq"))
+    sizes = numbered.groupBy("level").agg(F.ceil(F.max("seq") / F.lit(batch_size)).alias("n"))  # a row per level
+    first = Window.partitionBy(F.lit(0)).orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("level", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("first"))
+    batch = F.col("first") + F.floor((F.col("seq") - 1) / F.lit(batch_size))
+    return join_back(numbered, firsts, ["level"]).select(
+        "level", "action", batch.cast("long").alias("batch_no"), "seq",
+        F.when(F.col("first") > 0, F.col("first") - 1).cast("long").alias("after_batch"),
+        F.concat(F.col("action"), F.lit(":"), F.col("request_key")).alias("request_id"), "payload")
+
+
 def batch_summary(box: DataFrame) -> DataFrame:
     """Rows per (action, batch) — the invariant a delivery job checks."""
     return box.groupBy("action", "batch_no").agg(F.count(F.lit(1)).alias("n_requests"))

@@ -7,11 +7,12 @@ codegen and run wherever the rows are; none needs a shuffle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from rollcall.functions.dates import iso_unparsable, parse_iso_timestamp
 
@@ -129,26 +130,60 @@ def invert_map(m) -> Column:
 
 
 # -------------------------------------------------------------------- N10
-def violations(record: StructType, col_of=None) -> Column:
-    """Array of rule violations for one row, from field metadata:
-    required (NULL), enum (value outside the list), type (text that does not
-    parse as the declared integer/boolean)."""
+@dataclass(frozen=True)
+class Rule:
+    """One row of the rule table: what is wrong with a field where ``broken`` holds."""
+
+    field: str
+    kind: str
+    broken: Column
+
+    @property
+    def text(self) -> str:
+        return f"{self.field}: {self.kind}"
+
+
+def rules_of(record: StructType, col_of=None, types: Mapping[str, DataType] | None = None) -> list[Rule]:
+    """The rule table of a record, compiled from field metadata: required (NULL), enum (value outside the list) and type (text
+    that does not parse as the declared type, for columns that ``types`` says are text)."""
     col_of = col_of or (lambda f: F.col(f.metadata.get("column", f.name)))
-    checks = []
+    rules = []
     for f in record.fields:
         if f.metadata.get("readonly"):
             continue
         c = col_of(f)
         if f.metadata.get("required"):
-            checks.append(F.when(c.isNull(), F.lit(f"{f.name}: required")))
+            rules.append(Rule(f.name, "required", c.isNull()))
         if "enum" in f.metadata:
-            checks.append(F.when(c.isNotNull() & ~c.isin(list(f.metadata["enum"])), F.lit(f"{f.name}: not in enum")))
+            rules.append(Rule(f.name, "not in enum", c.isNotNull() & ~c.isin(list(f.metadata["enum"]))))
+        landed = (types or {}).get(f.metadata.get("column", f.name))
+        if isinstance(landed, StringType) and not isinstance(f.dataType, StringType):
+            rules.append(Rule(f.name, f"no {f.dataType.simpleString()}", c.isNotNull() & c.try_cast(f.dataType).isNull()))
+    return rules
+
+
+def violations(record: StructType, col_of=None, types: Mapping[str, DataType] | None = None) -> Column:
+    """Array of rule violations for one row, from field metadata (:func:`rules_of`)."""
+    checks = [F.when(rule.broken, F.lit(rule.text)) for rule in rules_of(record, col_of, types)]
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def column_types(df: DataFrame) -> dict[str, DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def violation_counts(df: DataFrame, record: StructType, col_of=None) -> DataFrame:
+    """(field, rule, n_rows) of every rule of the table, also of those that no row breaks: one aggregate over the rows."""
+    rules = rules_of(record, col_of, column_types(df))
+    totals = df.agg(*[F.count_if(rule.broken).alias(f"r{i}") for i, rule in enumerate(rules)])
+    each = F.array(*[F.struct(F.lit(rule.field).alias("field"), F.lit(rule.kind).alias("rule"), F.col(f"r{i}").alias("n_rows"))
+                     for i, rule in enumerate(rules)])
+    return totals.select(F.inline(each))
+
+
 def split_valid(df: DataFrame, record: StructType, col_of=None) -> tuple[DataFrame, DataFrame]:
     """Rows with no violation, and the quarantine (rows + their violations)."""
-    v = df.withColumn("violations", violations(record, col_of))
+    v = df.withColumn("violations", violations(record, col_of, column_types(df)))
     return v.filter(F.size("violations") == 0).drop("violations"), v.filter(F.size("violations") > 0)
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.nested import merge_later_wins
 
 STORE_FIELDS = ("unique_attribute", "department_id", "group_type")
 
@@ -43,8 +44,9 @@ def route_group_responses(requests: DataFrame, responses: DataFrame, groups: Dat
                .when(conflict, F.lit("unresolved"))
                .otherwise(F.lit("rejected")))
     gid = F.when(ok, F.col("rs.body.id")).when(conflict, F.col("g.google_groupid"))
-    email = F.when(ok, F.coalesce(F.col("rs.body.email"), F.col("rq.email"))).when(conflict, F.col("x_email"))
-    name = (F.when(ok, F.coalesce(F.col("rs.body.name"), F.col("rq.name")))
+    answered_email, answered_name = merge_later_wins("rq", "rs.body", ["email", "name"])
+    email = F.when(ok, answered_email).when(conflict, F.col("x_email"))
+    name = (F.when(ok, answered_name)
             .when(conflict & F.col("x_email").isNotNull(), F.coalesce(F.col("g.group_name"), F.col("rq.name"))))
     etag = F.when(ok, F.col("rs.body.etag")).when(conflict, F.col("g.etag"))
     own = [F.when(ok, F.col(f"rq.{f}")).when(conflict & F.col("x_email").isNotNull(),

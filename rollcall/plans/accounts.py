@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from rollcall.config import SyncConfig
-from rollcall.functions import codes, dates
+from rollcall.functions import codes, dates, text
 from rollcall.operators import apply
+from rollcall.operators.documents import first_of
 from rollcall.operators.reconcile import changed, missing
 
 # Staff stage (store table) in load order; the extract's text flags land in
@@ -84,15 +85,16 @@ def desired_staff(staff: DataFrame, accounts: DataFrame, cfg: SyncConfig) -> Dat
     j = sp.join(bu, sp["external_uid"] == bu["bu_uid"])
     return j.select(
         "id", F.lit("staff").alias("user_type"),
-        F.coalesce("email_address", "bu_email").alias("primary_email"),
+        text.with_default_domain(F.coalesce("email_address", "bu_email"), cfg.staff_domain).alias("primary_email"),
         "given_name", "family_name", "external_uid",
         codes.suspended_flag("external_userstatus", "suspend_account", cfg.legacy_suspend_rule).alias("suspended"),
         F.lit(0).alias("change_password"), F.lit(1).alias("global_addressbook"),
         F.lit(cfg.staff_ou).alias("ou_path"))
 
 
-def desired_students(students: DataFrame, accounts: DataFrame, orgunits: DataFrame) -> DataFrame:
-    """Q09: the account each student should have; org unit from (school, grade)."""
+def desired_students(students: DataFrame, accounts: DataFrame, orgunits: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Q09: the account each student should have; org unit from (school, grade).  An address without a domain gets the
+    students' one (F17), here as for staff."""
     bu = accounts.filter(F.col("user_type") == "student").select(
         "id", F.col("external_uid").alias("bu_uid"), F.col("primary_email").alias("bu_email"))
     ou = orgunits.select("department_id", "map_key", "ou_path")
@@ -100,7 +102,7 @@ def desired_students(students: DataFrame, accounts: DataFrame, orgunits: DataFra
          .join(ou, (students["schoolid"] == ou["department_id"]) & (students["grade_level"] == ou["map_key"])))
     return j.select(
         "id", F.lit("student").alias("user_type"),
-        F.coalesce("email_override", "bu_email").alias("primary_email"),
+        text.with_default_domain(F.coalesce("email_override", "bu_email"), cfg.student_domain).alias("primary_email"),
         "given_name", "family_name", "external_uid",
         F.col("suspend_account").alias("suspended"),
         F.lit(0).alias("change_password"), F.lit(1).alias("global_addressbook"), "ou_path")
@@ -158,6 +160,19 @@ def account_by_email(accounts: DataFrame, emails: DataFrame) -> DataFrame:
     return accounts.join(emails.select("primary_email").distinct(), "primary_email", "left_semi")
 
 
+def uid_by_email(people: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Q16 for all pending addresses at once: the new uid that the lookup table (primary_email, new_external_uid) holds for each
+    address, null where it holds none.  ``lookup`` has one row per address (``ranking.last_wins``)."""
+    known = lookup.select(F.col("primary_email").alias("l_email"), "new_external_uid")
+    return people.join(known, F.col("primary_email") == F.col("l_email"), "left").drop("l_email")
+
+
+def desired_accounts(staff: DataFrame, students: DataFrame, accounts: DataFrame, orgunits: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Q08 and Q09, one row per account: of a person's tied stage rows (several latest enrolments) the least counts, as a whole row."""
+    rows = desired_staff(staff, accounts, cfg).unionByName(desired_students(students, accounts, orgunits, cfg))
+    return first_of(rows, ["id"], ["ou_path", "primary_email", "given_name", "family_name"])
+
+
 # --------------------------------------------------------------------- C3
 def account_patch(desired: DataFrame, accounts: DataFrame) -> DataFrame:
     """Per stored account, each field whose desired value differs.

@@ -10,14 +10,16 @@ joins without cost-based statistics, so the filtered dimension chain
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.config import ELEMENTARY_GRADES, SECONDARY_GRADES, SECTION_GRADES, SyncConfig
 from rollcall.functions import codes, dates, text
 from rollcall.operators.ranking import latest_per_key
+from rollcall.operators.routing import routed
 
 
 # --------------------------------------------------------------------- Q01
@@ -52,48 +54,39 @@ def latest_enrolments(enrol: DataFrame) -> DataFrame:
     return latest.filter(F.col("is_primary") == F.lit(True))
 
 
+def placements(src: dict[str, DataFrame]) -> DataFrame:
+    """Where each counted enrolment places a student: site, session, dates, the grade's label and number (P4: null for a
+    label that is no grade)."""
+    sites = src["sessions"].select("session_id", "site_id").join(src["sites"].select("site_id"), "site_id", "left_semi")
+    grades = src["grade_levels"].select("grade_level_id", F.col("short_name").alias("grade_label"))
+    return (latest_enrolments(src["enrol"]).select("student_id", "session_id", "grade_level_id", "entry_date", "leave_date")
+            .join(sites, "session_id").join(grades, "grade_level_id").drop("grade_level_id")
+            .withColumn("grade_level", codes.grade_number("grade_label")))
+
+
+def route_placements(src: dict[str, DataFrame]) -> DataFrame:
+    """Placements routed; those whose grade label does not parse are rejects (the extract keeps them without a grade)."""
+    return routed(placements(src), {"grade label does not parse": F.col("grade_label").isNotNull() & F.col("grade_level").isNull()})
+
+
 def student_extract(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
-    """Q02: student stage rows from the SIS (latest enrolment, grade, house, flags)."""
-    s = src["students"]
+    """Q02: student stage rows from the SIS: placements first, then what is known of the student."""
+    people = src["students"].join(src["custom_fields"].select("student_id", "email_suspend", "override_email"), "student_id")
     if cfg.excluded_students:
-        s = s.filter(~F.col("student_id").isin(list(cfg.excluded_students)))
-    sa = latest_enrolments(src["enrol"]).alias("sa")
-    ses = src["sessions"].alias("ses")
-    sch = src["sites"].alias("sch")
-    cf = src["custom_fields"].alias("cf")
-    gl = src["grade_levels"].alias("gl")
-    house = src["houses"].alias("h")
-    j = (s.alias("s")
-         .join(sa, F.col("sa.student_id") == F.col("s.student_id"))
-         .join(ses, F.col("ses.session_id") == F.col("sa.session_id"))
-         .join(sch, F.col("sch.site_id") == F.col("ses.site_id"))
-         .join(cf, F.col("cf.student_id") == F.col("s.student_id"))
-         .join(gl, F.col("sa.grade_level_id") == F.col("gl.grade_level_id"))
-         .join(house, (F.col("h.student_id") == F.col("s.student_id"))
-               & (F.col("h.session_id") == F.col("ses.session_id")), "left"))
-    return j.select(
-        F.col("s.student_id").alias("external_uid"),
-        F.col("sch.site_id").alias("schoolid"),
-        F.col("s.local_student_id").alias("student_number"),
-        F.col("s.first_name").alias("given_name"),
-        F.col("s.last_name").alias("family_name"),
-        F.col("s.middle_name").alias("middle_name"),
-        F.col("s.birth_date").alias("dob"),
-        codes.normalise_gender("s.gender").alias("gender"),
-        codes.grade_number("gl.short_name").alias("grade_level"),
-        F.lit(None).cast("string").alias("home_room"),
-        F.col("h.house_name").alias("area"),
-        F.col("sa.entry_date").alias("entrydate"),
-        F.col("sa.leave_date").alias("exitdate"),
-        F.when(dates.active_on(cfg.as_of, "sa.entry_date", "sa.leave_date"), F.lit(1))
-         .otherwise(F.lit(0)).alias("external_userstatus"),
-        F.when(F.col("cf.email_suspend") == F.lit(True), F.lit(1)).otherwise(F.lit(0)).alias("suspend_account"),
-        F.col("cf.override_email").alias("email_override"),
-        F.col("s.email").alias("student_web_id"),
-        F.lit(None).cast("string").alias("parent_web_id"),
-        F.lit(1).alias("student_allowwebaccess"),
-        F.lit(1).alias("parent_allowwebaccess"),
-    )
+        people = people.filter(~F.col("student_id").isin(list(cfg.excluded_students)))
+    houses = src["houses"].select("student_id", "session_id", "house_name")
+    found = placements(src).join(people, "student_id").join(houses, ["student_id", "session_id"], "left")
+    enrolled = dates.active_on(cfg.as_of, "entry_date", "leave_date")
+    nothing, allowed = F.lit(None).cast("string"), F.lit(1)
+    columns = {
+        "external_uid": "student_id", "schoolid": "site_id", "student_number": "local_student_id", "given_name": "first_name",
+        "family_name": "last_name", "middle_name": "middle_name", "dob": "birth_date", "gender": codes.normalise_gender("gender"),
+        "grade_level": "grade_level", "home_room": nothing, "area": "house_name", "entrydate": "entry_date", "exitdate": "leave_date",
+        "external_userstatus": codes.flag(enrolled, 1, 0), "suspend_account": codes.flag(F.col("email_suspend"), 1, 0),
+        "email_override": "override_email", "student_web_id": "email", "parent_web_id": nothing, "student_allowwebaccess": allowed,
+        "parent_allowwebaccess": allowed,
+    }
+    return found.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
 
 
 # ------------------------------------------------------------ X1 (Q05/Q06)
@@ -108,21 +101,58 @@ def custom_field_pivot(eav: DataFrame, table_name: str, fields: Sequence[str]) -
             .agg(F.max_by("value", "seq")))
 
 
-def staff_extract_custom(users: DataFrame, custom: DataFrame) -> DataFrame:
-    """Q05: older staff extract — flags come from custom fields."""
-    u = users.alias("u").join(custom.alias("cf"), F.col("cf.row_id") == F.col("u.user_id"), "left")
-    return u.select(
-        F.col("u.user_id").alias("external_uid"),
-        F.col("u.local_user_id").alias("staffid"),
-        codes.flag(F.col("cf.signup").isNotNull(), 1, 0).alias("certificated"),
-        F.col("u.first_name").alias("given_name"),
-        F.col("u.last_name").alias("family_name"),
-        F.col("cf.view").alias("gender_field"),
-        F.when(F.col("cf.error").try_cast("double") >= 50, F.lit(1)).otherwise(F.lit(0)).alias("suspend_account"),
-        F.when(F.col("cf.purchase").try_cast("double") >= 50, F.lit(1)).otherwise(F.lit(0)).alias("has_email"),
-        F.col("cf.click").alias("email_address"),
-        codes.flag(F.col("cf.signup").isNotNull(), 1, 2).alias("staff_conference"),
-    )
+@dataclass(frozen=True)
+class Attribute:
+    """A row of the rule table for custom fields: the stored field, the column it becomes, and the column's type."""
+
+    field: str
+    column: str
+    kind: str = "string"
+
+
+def typed_attributes(eav: DataFrame, table_name: str, rules: Sequence[Attribute]) -> DataFrame:
+    """X1 by a rule table: one row per ``row_id`` with a typed column per rule and ``unparsed``, the fields (field, value) whose
+    latest value is no text of the rule's type (their columns are null)."""
+    wide = custom_field_pivot(eav, table_name, sorted({r.field for r in rules}))
+    value = lambda r: F.col(f"`{r.field}`")
+    faults = [F.when(value(r).isNotNull() & value(r).try_cast(r.kind).isNull(),
+                     F.struct(F.lit(r.field).alias("field"), value(r).alias("value"))) for r in rules if r.kind != "string"]
+    none = F.array().cast("array<struct<field:string,value:string>>")
+    unparsed = F.filter(F.array(*faults), lambda x: x.isNotNull()) if faults else none
+    return wide.select("row_id", *[value(r).try_cast(r.kind).alias(r.column) for r in rules], unparsed.alias("unparsed"))
+
+
+def unparsed_attributes(typed: DataFrame) -> DataFrame:
+    """(row_id, field, value) of the values that did not parse."""
+    return typed.select("row_id", F.inline("unparsed"))
+
+
+def older_staff_extract(teachers: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Q05: staff of the older SIS.  ``attributes`` (:func:`typed_attributes`) has state_id, gender, no_email, email, email_address;
+    teachers count at their home school, with a staff type and both names."""
+    placed = teachers.filter(F.col("staffstatus").isNotNull() & (F.col("schoolid") == F.col("homeschoolid"))
+                             & F.col("first_name").isNotNull() & F.col("last_name").isNotNull())
+    j = placed.join(attributes, placed["id"] == attributes["row_id"], "left")
+    certified = F.col("state_id").isNotNull()
+    return j.select(
+        F.col("users_dcid").alias("external_uid"), "id", "schoolid", "teachernumber", codes.flag(certified, 1, 0).alias("certificated"),
+        F.col("first_name").alias("given_name"), F.col("last_name").alias("family_name"), "middle_name", "gender",
+        codes.flag(F.col("status") == 1, 0, 2).alias("external_userstatus"), F.col("staffstatus").alias("staff_type"),
+        codes.flag(F.col("no_email") == 1, 1, 0).alias("suspend_account"), codes.flag(F.col("email") == 1, 1, 0).alias("has_email"),
+        "email_address", codes.flag(certified, 1, 2).alias("staff_conference"))
+
+
+def older_student_extract(students: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Q06: students of the older SIS.  ``attributes`` has area, suspended, email_override.  Gender is compared in upper case
+    (P3); the order by id is left to whoever writes the rows (O2)."""
+    j = students.join(attributes, students["id"] == attributes["row_id"], "left")
+    return j.select(
+        F.col("id").alias("external_uid"), "schoolid", "student_number", F.col("first_name").alias("given_name"),
+        F.col("last_name").alias("family_name"), "middle_name", "dob", codes.normalise_gender(F.upper("gender")).alias("gender"),
+        "grade_level", "home_room", "area", F.to_date("entrydate").alias("entrydate"), F.to_date("exitdate").alias("exitdate"),
+        codes.flag(F.col("enroll_status") == 0, 0, 2).alias("external_userstatus"),
+        codes.flag(F.col("suspended") == 1, 1, 0).alias("suspend_account"), "email_override", "student_web_id",
+        F.col("web_id").alias("parent_web_id"), "student_allowwebaccess", F.col("allowwebaccess").alias("parent_allowwebaccess"))
 
 
 # --------------------------------------------------------------------- Q18
@@ -137,10 +167,9 @@ def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
     list sizes, and W2 (``dense_rank() … = 1`` over surname, course, time
     block; ties kept) keeps exactly the rows built from the first teacher
     surname, first course name and first time-block name of each list.  Each
-    list is aggregated per section — all four in one aggregate over a tagged
-    union, with map-side partial aggregation, so a hot section is combined
-    by many tasks — and only the rank-1 rows are joined: the fan-out join of
-    the reference is never materialised.
+    list is aggregated per section with map-side partial aggregation, so a hot
+    section is combined by many tasks, and only the rank-1 rows are joined: the
+    fan-out join is never materialised.
     """
     ses = src["sessions"].filter(F.col("academic_year") == cfg.academic_year)
     sch = src["sites"].filter(F.col("exclude_from_state_reporting") == F.lit(False))
@@ -170,39 +199,19 @@ def section_groups(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
                     F.col("timeblock_id") == F.col("b_id"))
               .select("section_id", "timeblock_name"))
 
-    # One tagged union of the four lists → one aggregate per section gives
-    # every list size and every first key (a single shuffle, partial agg).
-    lists = (terms.select("section_id", F.lit("t").alias("tag"), F.lit(None).cast("string").alias("key"),
-                          F.struct("term_name", "site_id", "site_name", "grade", "site_short").alias("t"))
-             .unionByName(teachers.select("section_id", F.lit("u").alias("tag"), F.col("last_name").alias("key"),
-                                          F.struct("user_id", "last_name", "first_name").alias("u")),
-                          allowMissingColumns=True)
-             .unionByName(courses.select("section_id", F.lit("c").alias("tag"), F.col("course_name").alias("key"),
-                                         F.struct("school_course_id", "course_name").alias("c")),
-                          allowMissingColumns=True)
-             .unionByName(blocks.select("section_id", F.lit("b").alias("tag"), F.col("timeblock_name").alias("key"),
-                                        F.struct("timeblock_name").alias("b")),
-                          allowMissingColumns=True))
-    key = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("v"))   # NULLS LAST under min()
-    n_of = {t: F.count(F.when(F.col("tag") == t, F.lit(1))) for t in "tucb"}
-    first_of = {t: F.min(F.when(F.col("tag") == t, key)) for t in "ucb"}
-    stats = (lists.groupBy("section_id")
-             .agg((n_of["t"] * n_of["u"] * n_of["c"] * n_of["b"]).alias("n_rows"),
-                  *[first_of[t].alias(f"{t}_first") for t in "ucb"])
-             .filter(F.col("n_rows") > 0)
-             .withColumnRenamed("section_id", "s_sec"))
-    kept = (lists.join(stats, F.col("section_id") == F.col("s_sec"))
-            .filter((F.col("tag") == "t") | ((F.col("tag") == "u") & (key == F.col("u_first")))
-                    | ((F.col("tag") == "c") & (key == F.col("c_first")))
-                    | ((F.col("tag") == "b") & (key == F.col("b_first")))))
-
-    def part(tag: str, cols) -> DataFrame:
-        return kept.filter(F.col("tag") == tag).select("section_id", *cols)
-
-    ranked = (part("u", ["n_rows", "u.*"])
-              .join(part("t", ["t.*"]), "section_id")
-              .join(part("c", ["c.*"]), "section_id")
-              .join(part("b", ["b.*"]), "section_id"))
+    def first_key(c: str) -> Column:
+        return F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v"))  # NULLS LAST under min()
+
+    # Each list once per section: its size and first key (partial aggregates), joined where they are partitioned already;
+    # then each list's rows with the first key.
+    lists = {"u": (teachers, "last_name"), "c": (courses, "course_name"), "b": (blocks, "timeblock_name")}
+    stats = terms.groupBy("section_id").agg(F.count(F.lit(1)).alias("n_t"))
+    for name, (rows, key) in lists.items():
+        stats = stats.join(rows.groupBy("section_id").agg(F.count(F.lit(1)).alias(f"n_{name}"), F.min(first_key(key)).alias(f"first_{name}")),
+                           "section_id")
+    ranked = stats.withColumn("n_rows", F.col("n_t") * F.col("n_u") * F.col("n_c") * F.col("n_b")).join(terms, "section_id")
+    for name, (rows, key) in lists.items():
+        ranked = ranked.join(rows, "section_id").filter(first_key(key) == F.col(f"first_{name}"))
 
     period = text.period_name("timeblock_name")
     secondary = F.col("grade").isin(list(SECONDARY_GRADES))
@@ -264,11 +273,11 @@ def student_schedule(src: dict[str, DataFrame], cfg: SyncConfig) -> DataFrame:
 
 
 def schedule_by_term_range(section_student: DataFrame, section_term: DataFrame,
-                           lo: int, hi: int) -> DataFrame:
+                           lo: int, hi: int, term_code: str = "sta.term_id") -> DataFrame:
     """Q20: older schedule extract — every roster row whose term code lies in
-    [lo, hi] by absolute value (P15).  The term code here is the term id
-    without its site prefix."""
-    code = F.col("sta.term_id") % 100000
+    [lo, hi] by absolute value (P15).  ``term_code`` is the SQL expression of the code over
+    the section terms (``sta``)."""
+    code = F.expr(term_code)
     sta = section_term.alias("sta").filter(F.abs(code).between(lo, hi))
     return (section_student.alias("ssa")
             .join(sta, F.col("sta.section_id") == F.col("ssa.section_id"))

@@ -17,12 +17,12 @@ in the store but compared with numeric ids; it is cast explicitly (R5).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.config import (COHORT_GROUP, COURSE_GROUP, ROLE_MEMBER, ROLE_OWNER, SCHOOL_GROUP,
                              SECTION_GROUP, SyncConfig)
-from rollcall.functions import dates
+from rollcall.functions import dates, text
 from rollcall.operators.reconcile import missing
 
 
@@ -130,6 +130,16 @@ def course_members_missing(schedule, groups, accounts, members, cfg: SyncConfig)
     return _schedule_members_missing(schedule, groups, accounts, members, COURSE_GROUP, cfg)
 
 
+def scheduled_in_groups(schedule: DataFrame, groups: DataFrame, accounts: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """(google_groupid, external_uid, google_id, account_uid) of students scheduled on as_of into a section that has a group;
+    account_uid is null without an account."""
+    sched = schedule.filter(dates.active_on(cfg.as_of, "dateenrolled", "dateleft")).select("sectionid", F.col("studentid").alias("external_uid"))
+    g = groups_of_type(groups, SECTION_GROUP).select("google_groupid", "ua_num")
+    held = accounts_of_type(accounts, "student").select(F.col("external_uid").alias("account_uid"), "google_id")
+    return (sched.join(g, F.col("sectionid") == F.col("ua_num")).select("google_groupid", "external_uid").distinct()
+            .join(held, F.col("external_uid") == F.col("account_uid"), "left").select("google_groupid", "external_uid", "google_id", "account_uid"))
+
+
 def member_rejects(schedule: DataFrame, groups: DataFrame, accounts: DataFrame, cfg: SyncConfig) -> DataFrame:
     """Scheduled students whose account has no directory id (cannot be added)."""
     sched = schedule.filter(dates.active_on(cfg.as_of, "dateenrolled", "dateleft"))
@@ -149,7 +159,7 @@ def section_groups_renamed(sections: DataFrame, groups: DataFrame) -> DataFrame:
     j = g.join(sections.select("section_id", F.col("group_email").alias("new_email"), "group_name",
                                "group_description"),
                g["ua_num"] == F.col("section_id"))
-    return (j.filter(F.lower("group_email") != F.lower("new_email"))
+    return (j.filter(text.ci_differs("group_email", "new_email"))
             .select(F.col("group_email").alias("old_email"), "new_email", "group_name", "group_description"))
 
 
@@ -184,6 +194,14 @@ def stale_members(schedule: DataFrame, groups: DataFrame, accounts: DataFrame, m
     return cur.join(active, cond, "left_anti").select("google_groupid", "google_userid", "primary_email")
 
 
+def course_groups_stale(sections: DataFrame, groups: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Course groups (Q31) whose section is no more among those of the configured course numbers; groups whose unique
+    attribute is no section number are left alone."""
+    want = sections.filter(F.col("course_number").isin(list(cfg.course_group_numbers))).select("section_id")
+    held = groups_of_type(groups, COURSE_GROUP).filter(F.col("ua_num").isNotNull())
+    return missing(held, want, [("ua_num", "section_id")]).select("google_groupid", "group_email")
+
+
 # ------------------------------------------------------------------- Q27
 def school_members_missing(staff: DataFrame, groups: DataFrame, accounts: DataFrame,
                            members: DataFrame) -> DataFrame:
@@ -296,10 +314,6 @@ def all_groups(groups: DataFrame) -> DataFrame:
     return groups.select("google_groupid", "group_email")
 
 
-def role_filter(col: str, role: str) -> Column:
-    return F.col(col) == role
-
-
 def pending_section_members(schedule: DataFrame, sections: DataFrame, groups: DataFrame, accounts: DataFrame,
                             cfg: SyncConfig) -> DataFrame:
     """Stage barrier (E2): students scheduled on as_of into a section whose

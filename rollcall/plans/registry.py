@@ -6,21 +6,23 @@ on them.  ``rollcall.oracle_sql`` holds the matching DuckDB statements.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.config import COHORT_GROUP, SCHOOL_GROUP
+from rollcall.functions import dates
 from rollcall.operators import apply as ap
-from rollcall.operators import nested, responses
+from rollcall.operators import documents, ledger, nested, paging, responses
 from rollcall.operators.batches import batch_summary
 from rollcall.operators.ranking import last_wins
 from rollcall.operators.usernames import allocate_usernames
 from rollcall.plans import accounts as acc
 from rollcall.plans import extract, extras, jobs
 from rollcall.plans import groups as grp
-from rollcall.schemas import GROUP_RECORD, USER_FIELD_TO_COLUMN, USER_PAGE
+from rollcall.schemas import GROUP_RECORD, MEMBER_RECORD, USER_FIELD_TO_COLUMN, USER_PAGE, USER_RESOURCE
 from rollcall.sinks.export import device_table
 from rollcall.sources import readers
 from rollcall.testbed import Testbed
@@ -161,7 +163,7 @@ def _q08(tb: Testbed) -> DataFrame:
 
 @query("desired_students")
 def _q09(tb: Testbed) -> DataFrame:
-    return acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)
+    return acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit, tb.cfg)
 
 
 @query("account_state")
@@ -177,7 +179,7 @@ def _q15(tb: Testbed) -> DataFrame:
 @query("account_patch")
 def _c3(tb: Testbed) -> DataFrame:
     desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
-               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit, tb.cfg)))
     return acc.account_patch(desired, tb.accounts)
 
 
@@ -217,11 +219,9 @@ def _k3(tb: Testbed) -> DataFrame:
 
 @query("apply_update")
 def _k4(tb: Testbed) -> DataFrame:
-    desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
-               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+    desired = acc.desired_accounts(tb.staff_stage, tb.students_stage, tb.accounts, tb.orgunit, tb.cfg)
     diff = acc.account_patch(desired, tb.accounts)
-    per_id = (diff.groupBy("id", "field").agg(F.max("new_value").alias("new_value"))
-              .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("field", "new_value"))).alias("m")))
+    per_id = diff.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("field", "new_value"))).alias("m"))
     types = dict(tb.accounts.dtypes)
     changes = per_id.select("id", *[F.col("m")[f].cast(types[f]).alias(f) for f in acc.ACCOUNT_FIELDS],
                             F.map_keys("m").alias("supplied"))
@@ -282,12 +282,8 @@ def _k11(tb: Testbed) -> DataFrame:
 
 @query("device_patch")
 def _c9(tb: Testbed) -> DataFrame:
-    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"]).withColumnRenamed("serialNumber", "d_serial")
-    upd = tb.device_updates()
-    j = upd.join(ids, F.col("serialNumber") == F.col("d_serial"), "left")
-    patch = nested.sparse_patch({c: F.col(c) for c in ("annotatedUser", "annotatedAssetId", "annotatedLocation",
-                                                        "orgUnitPath", "notes")})
-    return j.select("serialNumber", "deviceId", patch.alias("patch"))
+    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"])
+    return jobs.device_patches(tb.device_updates(), ids).drop("sink", "reasons")
 
 
 @query("response_apply")
@@ -343,12 +339,18 @@ def _j12(tb: Testbed) -> DataFrame:
 @query("custom_field_pivot")
 def _x1(tb: Testbed) -> DataFrame:
     cf = extract.custom_field_pivot(tb.custom_field_values, "staff", ["click", "error", "purchase", "signup", "view"])
-    return extract.staff_extract_custom(tb.sis_users, cf)
+    high = lambda c: F.coalesce((F.col(c).try_cast("double") >= 50).cast("int"), F.lit(0))
+    has = F.col("signup").isNotNull()
+    return tb.sis_users.join(cf, F.col("user_id") == F.col("row_id"), "left").select(
+        F.col("user_id").alias("external_uid"), F.col("local_user_id").alias("staffid"), has.cast("int").alias("certificated"),
+        F.col("first_name").alias("given_name"), F.col("last_name").alias("family_name"), F.col("view").alias("gender_field"),
+        high("error").alias("suspend_account"), high("purchase").alias("has_email"), F.col("click").alias("email_address"),
+        F.when(has, 1).otherwise(2).alias("staff_conference"))
 
 
 @query("schedule_term_range")
 def _q20(tb: Testbed) -> DataFrame:
-    return extract.schedule_by_term_range(tb.section_student, tb.section_term, 20011, 20012)
+    return extract.schedule_by_term_range(tb.section_student, tb.section_term, 20011, 20012, "sta.term_id % 100000")
 
 
 @query("email_writeback")
@@ -445,3 +447,212 @@ def _e2_apply(tb: Testbed) -> DataFrame:
     store = tb.groups.select("google_groupid", "group_email", "group_name", "description", "etag",
                              "department_id", "group_type", "unique_attribute")
     return ap.upsert(store, responses.applied_groups(routed), ["google_groupid"])
+
+
+# ------------------------------------------------------ requests and answers
+def _member_states(tb: Testbed) -> DataFrame:
+    return ledger.states(tb.member_requests, tb.member_ledger, max_attempts=3)
+
+
+@query("member_request_states")
+def _x2(tb: Testbed) -> DataFrame:
+    return _member_states(tb).drop("body", "seq")
+
+
+@query("members_after_responses")
+def _x2_apply(tb: Testbed) -> DataFrame:
+    return ledger.members_after(tb.group_member, _member_states(tb))
+
+
+@query("members_refused")
+def _x2_refused(tb: Testbed) -> DataFrame:
+    return ledger.refused(_member_states(tb))
+
+
+@query("retry_queue")
+def _x2_retry(tb: Testbed) -> DataFrame:
+    return ledger.retry_queue(_member_states(tb), tb.cfg.batch_size)
+
+
+@query("delete_outbox")
+def _k12_deletes(tb: Testbed) -> DataFrame:
+    return jobs.group_deletes(tb.sections, tb.schedule, tb.students_stage, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+@query("ordered_outbox")
+def _k12_ordered(tb: Testbed) -> DataFrame:
+    return jobs.full_group_sync(tb.sections, tb.schedule, tb.students_stage, tb.groups, tb.accounts, tb.group_member, tb.cfg)
+
+
+# ------------------------------------------------------ documents and pages
+_PERSON_KEYS = {"id": "directory_id", "family": "family_name", "given": "given_name", "city": "home_city", "zip": "home_zip",
+                "suspended": "suspended"}
+
+
+@query("nested_patch")
+def _n8_patch(tb: Testbed) -> DataFrame:
+    keys = ["c_custkey"]
+    desired = documents.first_of(tb.desired_documents, keys, ["place"])
+    return documents.patches(documents.walk(desired, keys, "doc"), documents.walk(tb.stored_documents, keys, "doc"), keys)
+
+
+@query("flatten_by_key")
+def _n1_keys(tb: Testbed) -> DataFrame:
+    return documents.by_key(documents.walk(tb.stored_documents, ["c_custkey"], "doc"), ["c_custkey"], _PERSON_KEYS)
+
+
+@query("unknown_keys")
+def _n1_unknown(tb: Testbed) -> DataFrame:
+    return documents.unknown_keys(documents.walk(tb.stored_documents, ["c_custkey"], "doc"), _PERSON_KEYS)
+
+
+@query("page_chain")
+def _s2_chain(tb: Testbed) -> DataFrame:
+    return paging.page_chain(tb.listing_pages)
+
+
+@query("complete_listings")
+def _s2_complete(tb: Testbed) -> DataFrame:
+    return paging.complete_listings(paging.page_chain(tb.listing_pages))
+
+
+@query("json_array_source")
+def _s3(tb: Testbed) -> DataFrame:
+    users = readers.read_json_array(tb.spark, tb.user_array_path(), USER_RESOURCE)
+    return users.select(F.col("id").alias("google_id"), F.col("primaryEmail").alias("primary_email"), F.col("name.familyName").alias("family_name"),
+                        F.size("externalIds").alias("n_ids"))
+
+
+# ------------------------------------------------------ rules and rejects
+@query("record_violations")
+def _n10_rows(tb: Testbed) -> DataFrame:
+    _, groups = nested.split_valid(tb.landed_groups, GROUP_RECORD)
+    _, members = nested.split_valid(tb.landed_members, MEMBER_RECORD)
+    member_id = F.concat_ws("|", "google_groupid", F.coalesce("google_userid", F.lit("")))
+    row = lambda df, kind, key: df.select(F.lit(kind).alias("kind"), key.alias("record_id"), F.array_join("violations", ", ").alias("violations"))
+    return row(groups, "group", F.col("google_groupid")).unionByName(row(members, "member", member_id))
+
+
+@query("violation_counts")
+def _n10_counts(tb: Testbed) -> DataFrame:
+    groups = nested.violation_counts(tb.landed_groups, GROUP_RECORD).withColumn("kind", F.lit("group"))
+    return groups.unionByName(nested.violation_counts(tb.landed_members, MEMBER_RECORD).withColumn("kind", F.lit("member")))
+
+
+def _reasons(df: DataFrame) -> DataFrame:
+    return df.withColumn("reasons", F.array_join("reasons", ", "))
+
+
+@query("routed_placements")
+def _p4(tb: Testbed) -> DataFrame:
+    return _reasons(extract.route_placements(tb.student_sources()))
+
+
+@query("routed_new_groups")
+def _c6_groups(tb: Testbed) -> DataFrame:
+    return _reasons(jobs.route_new_groups(grp.section_groups_missing(tb.sections, tb.groups)))
+
+
+@query("routed_members")
+def _r7(tb: Testbed) -> DataFrame:
+    return _reasons(jobs.route_members(tb.schedule, tb.groups, tb.accounts, tb.cfg))
+
+
+@query("routed_devices")
+def _c9_routed(tb: Testbed) -> DataFrame:
+    ids = readers.device_listing(tb.device_pages, ["serialNumber", "deviceId"])
+    return _reasons(jobs.device_patches(tb.device_updates(), ids))
+
+
+# ------------------------------------------------------ write-back and older extracts
+def _writeback(tb: Testbed) -> DataFrame:
+    return jobs.writeback(tb.students_stage, tb.accounts, tb.sis_students, tb.sis_students_now)
+
+
+@query("sis_students_after_writeback")
+def _c8_after(tb: Testbed) -> DataFrame:
+    return ap.snapshot_of(_writeback(tb), tb.sis_students.columns)
+
+
+@query("writeback_conflicts")
+def _c8_conflicts(tb: Testbed) -> DataFrame:
+    return ap.conflicts_of(_writeback(tb), ["student_id"])
+
+
+def _staff_attributes(tb: Testbed) -> DataFrame:
+    A = extract.Attribute
+    return extract.typed_attributes(tb.older_field_values, "teachers", [
+        A("signup", "state_id"), A("view", "gender"), A("error", "no_email", "int"), A("purchase", "email", "int"), A("click", "email_address")])
+
+
+def _student_attributes(tb: Testbed) -> DataFrame:
+    A = extract.Attribute
+    return extract.typed_attributes(tb.older_field_values, "students", [A("view", "area"), A("error", "suspended", "int"), A("click", "email_override")])
+
+
+@query("older_staff_extract")
+def _q05(tb: Testbed) -> DataFrame:
+    return extract.older_staff_extract(tb.older_teachers, _staff_attributes(tb))
+
+
+@query("older_student_extract")
+def _q06(tb: Testbed) -> DataFrame:
+    return extract.older_student_extract(tb.older_students, _student_attributes(tb))
+
+
+@query("unparsed_attributes")
+def _x1_unparsed(tb: Testbed) -> DataFrame:
+    row = lambda df, name: extract.unparsed_attributes(df).withColumn("table_name", F.lit(name))
+    return row(_staff_attributes(tb), "teachers").unionByName(row(_student_attributes(tb), "students"))
+
+
+# ------------------------------------------------------ lookups and small operators
+@query("uid_by_email")
+def _q16(tb: Testbed) -> DataFrame:
+    lookup = readers.read_uid_lookup(tb.spark, tb.uid_lookup_path()).select(F.col("email").alias("primary_email"), F.col("uid").alias("new_external_uid"))
+    return acc.uid_by_email(_resources(tb).select("google_id", "primary_email"), lookup)
+
+
+@query("account_by_email")
+def _q07(tb: Testbed) -> DataFrame:
+    return acc.account_by_email(tb.accounts, _resources(tb).select("primary_email"))
+
+
+@query("account_query")
+def _p16(tb: Testbed) -> DataFrame:
+    return extras.account_query(tb.accounts, "google_id", _resources(tb).filter("suspended").select("google_id"), user_type="student")
+
+
+@query("desired_staff_legacy")
+def _p14_legacy(tb: Testbed) -> DataFrame:
+    return acc.desired_staff(tb.staff_stage, tb.accounts, replace(tb.cfg, legacy_suspend_rule=True))
+
+
+@query("date_texts")
+def _f10_f16(tb: Testbed) -> DataFrame:
+    return tb.raw("orders").select("o_orderkey", dates.mmddyy("o_orderdate").alias("mmddyy"), dates.iso_render("o_orderdate").alias("iso"))
+
+
+@query("update_or_insert")
+def _k5(tb: Testbed) -> DataFrame:
+    changes = tb.group_requests.select(F.col("email").alias("group_email"), "name", "request_id")
+    return ap.update_or_insert(tb.groups, changes, ["group_email"])
+
+
+@query("insert_rows")
+def _k6(tb: Testbed) -> DataFrame:
+    new = grp.school_members_missing(tb.staff_stage, tb.groups, tb.accounts, tb.group_member)
+    return ap.insert(tb.group_member, new.select("google_groupid", "google_userid", "role"))
+
+
+@query("partition_upsert")
+def _k8_upsert(tb: Testbed) -> DataFrame:
+    fresh = (grp.section_members_desired(tb.schedule, tb.groups, tb.accounts, tb.cfg)
+             .select("google_groupid", F.col("google_id").alias("google_userid"), "role", F.lit("USER").alias("type")))
+    return ap.replace_partitions(tb.group_member, fresh, ["google_groupid"], ["google_groupid", "google_userid"], overwrite=False)
+
+
+@query("store_projection")
+def _n5_store(tb: Testbed) -> DataFrame:
+    props = tb.group_requests.select("name", "email", F.col("request_id").alias("id"), "description", "department_id", "group_type", "unique_attribute")
+    return nested.schema_projection(props, GROUP_RECORD, "store")

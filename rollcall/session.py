@@ -7,6 +7,7 @@ session comes from the launcher; library code only reads its settings.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,14 +39,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder
-    is created and set.
+    A cluster names it; only when it is unset in local mode (tests) a scratch folder
+    is created and set.  Elsewhere a folder of the driver's own disk would be of no use to the executors.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="rollcall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of what a folder of any store holds, by name."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found)

@@ -7,7 +7,7 @@ as a TSV for another system).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.functions.dates import parse_iso_timestamp
@@ -37,8 +37,9 @@ def device_table(devices: DataFrame) -> DataFrame:
                           cols[10])
 
 
-def audited(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of the write that consumes ``df``
+def audited(df: DataFrame, name: str, rejects: Column | None = None) -> tuple[DataFrame, Observation]:
+    """Count rows, and those of them that ``rejects`` holds for, as a side effect of the write that consumes ``df``
     (no second pass).  Read ``obs.get`` after the action."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    refused = F.lit(0).cast("long") if rejects is None else F.count_if(rejects)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), refused.alias("rejects")), obs

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rollcall.config import SyncConfig
-from rollcall.session import ensure_checkpoint_dir
+from rollcall.session import ensure_checkpoint_dir, listing, path_exists
+from rollcall.sources.readers import read_csv_with_header
 
 def _source_version() -> str:
     """Hash of the package source: derived tables written by one version of
@@ -96,6 +97,7 @@ class Testbed:
         self.cfg = config
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
+        self._folder: str | None = None
 
     # -- driver tables -------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -183,7 +185,8 @@ class Testbed:
         return self.raw("customer").where("c_custkey % 50 <> 49").selectExpr(
             "c_custkey AS student_id",
             "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey % 9 = 0 END AS email_suspend",
-            "CASE WHEN c_custkey % 8 = 0 THEN concat('alt.', CAST(c_custkey AS STRING), '@example.org') END"
+            "CASE WHEN c_custkey % 16 = 0 THEN concat('alt.', CAST(c_custkey AS STRING))"
+            " WHEN c_custkey % 8 = 0 THEN concat('alt.', CAST(c_custkey AS STRING), '@example.org') END"
             " AS override_email")
 
     def _v_student_house(self) -> DataFrame:
@@ -396,7 +399,10 @@ class Testbed:
             " AS google_groupid",
             "concat('gu', CAST(c_custkey AS STRING)) AS google_userid",
             "'MEMBER' AS role")
-        return (pupils.unionByName(teachers).unionByName(staff).unionByName(cohort)
+        course = self.raw("part").where("p_partkey % 6 = 0").selectExpr(
+            "concat('crs-', CAST(p_partkey AS STRING)) AS google_groupid",
+            "concat('gu', CAST(p_partkey + 1 AS STRING)) AS google_userid", "'MEMBER' AS role")
+        return (pupils.unionByName(teachers).unionByName(staff).unionByName(cohort).unionByName(course)
                 .withColumn("type", F.lit("USER")))
 
     # -- stage tables and normalised current state --------------------
@@ -424,8 +430,11 @@ class Testbed:
 
     # -- directory listings, files and responses ----------------------
     def _files_dir(self) -> str:
-        base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        return f"{base}/rollcall-files/{_VERSION}/{os.path.basename(self.sf_dir)}"
+        if self._folder is None:
+            # keyed by the whole path and by what lies there: other tables, or the same ones written anew, are other inputs
+            key = hashlib.sha1(repr((self.sf_dir, listing(self.spark, self.sf_dir))).encode()).hexdigest()[:16]
+            self._folder = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/rollcall-files/{_VERSION}/{os.path.basename(self.sf_dir)}-{key}"
+        return self._folder
 
     def landed(self, name: str, build, schema: StructType, fmt: str = "csv", header: bool = False) -> DataFrame:
         """A file derived from the driver tables, written once to the shared
@@ -501,7 +510,7 @@ class Testbed:
 
     def device_updates(self) -> DataFrame:
         from rollcall.schemas import DEVICE_UPDATE_CSV
-        build = lambda: self.raw("part").where("p_partkey % 3 = 0").selectExpr(
+        build = lambda: self.raw("part").selectExpr(
             "CASE WHEN p_partkey % 50 = 0 THEN concat('SNX', CAST(p_partkey AS STRING))"
             " ELSE concat('SN', lpad(CAST(p_partkey AS STRING), 6, '0')) END AS serialNumber",
             "CASE WHEN p_partkey % 2 = 0 THEN concat('user', CAST(p_partkey AS STRING)) ELSE '' END AS annotatedUser",
@@ -511,7 +520,8 @@ class Testbed:
             " AS annotatedLocation",
             "'' AS orgUnitPath",
             "CASE WHEN p_partkey % 7 = 0 THEN concat('note ', CAST(p_partkey AS STRING)) ELSE '' END AS notes")
-        return self.landed("device_updates_csv", build, DEVICE_UPDATE_CSV, header=True)
+        self.landed("device_updates_csv", build, DEVICE_UPDATE_CSV, header=True)
+        return read_csv_with_header(self.spark, f"{self._files_dir()}/device_updates_csv", DEVICE_UPDATE_CSV)
 
     def uid_lookup_path(self) -> str:
         from rollcall.schemas import UID_LOOKUP_CSV
@@ -528,7 +538,7 @@ class Testbed:
 
     def external_ids_path(self) -> str:
         from rollcall.schemas import EXTERNAL_ID_CSV
-        build = lambda: self.raw("customer").where("c_custkey % 3 = 0").selectExpr(
+        build = lambda: self.raw("customer").selectExpr(
             "'' AS c0",
             "concat(lower(c_mktsegment), '.cust', CAST(c_custkey AS STRING), '@students.example.org') AS user_key",
             "'organization' AS id_type", "concat('X', CAST(c_custkey AS STRING)) AS id_value")
@@ -558,6 +568,129 @@ class Testbed:
             " ELSE concat('grp', CAST(o_orderkey AS STRING), '@groups.example.org') END,"
             " 'name', CAST(NULL AS STRING), 'etag', concat('et', CAST(o_orderkey AS STRING))) END AS body")
 
+    def _v_member_pairs(self) -> DataFrame:
+        li = self.raw("lineitem").select("l_orderkey", F.col("l_partkey").alias("p"))
+        o = self.raw("orders").select("o_orderkey", F.col("o_custkey").alias("c"))
+        return li.join(o, li.l_orderkey == o.o_orderkey).select("p", "c").distinct()
+
+    def _v_member_requests(self) -> DataFrame:
+        """Two nights of member requests: inserts and deletes, and inserts again of some that were deleted."""
+        night = ("explode(CASE WHEN (p + c) % 3 = 0 THEN array(named_struct('action', 'insert_member', 'night', 0))"
+                 " WHEN (p + c) % 12 = 1 THEN array(named_struct('action', 'delete_member', 'night', 0),"
+                 " named_struct('action', 'insert_member', 'night', 1))"
+                 " ELSE array(named_struct('action', 'delete_member', 'night', 0)) END) AS r")
+        return self.member_pairs.selectExpr("p", "c", night).selectExpr(
+            "concat(r.action, ':sec-', CAST(p AS STRING), '|gu', CAST(c AS STRING)) AS request_id", "r.action AS action",
+            "(r.night * 1000000 + p) * 10000000 + c AS seq", "concat('sec-', CAST(p AS STRING)) AS google_groupid",
+            "concat('gu', CAST(c AS STRING)) AS google_userid", "CASE WHEN r.action = 'insert_member' THEN 'MEMBER' END AS role")
+
+    def _v_member_responses(self) -> DataFrame:
+        """Landed answers: up to three attempts, some answers landed twice, none for every thirteenth pair."""
+        tried = self.member_requests.selectExpr("*", "CAST(substr(google_groupid, 5) AS BIGINT) AS p",
+                                                "CAST(substr(google_userid, 3) AS BIGINT) AS c").where("(p + c) % 13 <> 0").selectExpr(
+            "*", "explode(sequence(1, CAST(1 + (p * 7 + c) % 3 AS INT))) AS attempt")
+        status = ("CAST(CASE (p + 2 * c + 5 * attempt) % 11 WHEN 0 THEN 503 WHEN 1 THEN CASE action WHEN 'insert_member' THEN 409"
+                  " ELSE 404 END WHEN 2 THEN 403 WHEN 3 THEN 429 ELSE 200 END AS INT)")
+        answered = tried.selectExpr("*", f"{status} AS status").selectExpr(
+            "p", "request_id", "attempt", "status",
+            "CASE WHEN status = 200 AND action = 'insert_member' THEN named_struct('id', google_userid,"
+            " 'role', CASE WHEN c % 9 = 0 THEN 'MANAGER' END, 'type', CASE WHEN c % 2 = 0 THEN 'USER' END,"
+            " 'etag', concat('m', CAST(attempt AS STRING))) END AS body")
+        twice = answered.where("p % 4 = 0 AND attempt = 1")
+        return answered.unionByName(twice).drop("p")
+
+    def _v_member_ledger(self) -> DataFrame:
+        from rollcall.operators import ledger
+        landed = self.member_responses
+        return ledger.record(landed.limit(0), landed)
+
+    # -- documents, pages, faulty and older tables ----------------------
+    def _v_stored_documents(self) -> DataFrame:
+        """A document per customer, of up to three levels; some are no JSON."""
+        doc = F.expr("""CASE WHEN c_custkey % 29 = 0 THEN 'no json' ELSE to_json(named_struct(
+            'id', concat('gu', c_custkey), 'name', named_struct('family', concat('Cust', c_custkey), 'given', c_mktsegment),
+            'contact', CASE WHEN c_custkey % 3 = 0 THEN named_struct('home', named_struct(
+                'city', concat('C', c_custkey % 5), 'zip', concat('Z', c_custkey % 7))) END,
+            'suspended', c_custkey % 23 = 0, 'tags', array('a', concat('t', c_custkey % 2)),
+            'extra', CASE WHEN c_custkey % 6 = 0 THEN named_struct('deep', named_struct('level', 1)) END)) END""")
+        return self.raw("customer").select("c_custkey", doc.alias("doc"))
+
+    def _v_desired_documents(self) -> DataFrame:
+        """The documents as they ought to be, none for some, and for some a second, later one that does not count."""
+        doc = F.expr("""to_json(named_struct(
+            'id', concat('gu', c_custkey),
+            'name', CASE WHEN c_custkey % 13 <> 0 THEN named_struct('given', c_mktsegment,
+                'family', concat(CASE WHEN c_custkey % 5 = 0 THEN 'New' ELSE 'Cust' END, c_custkey)) END,
+            'contact', CASE WHEN c_custkey % 4 <> 0 THEN named_struct('home', named_struct('city', concat('C', c_custkey % 4))) END,
+            'suspended', c_custkey % 11 = 0, 'tags', array('a', 't0'),
+            'extra', CASE WHEN c_custkey % 6 = 0 THEN named_struct('deep', named_struct('level', 1)) END))""")
+        c = self.raw("customer").where("c_custkey % 17 <> 0")
+        first = c.select("c_custkey", F.lit(1).alias("place"), doc.alias("doc"))
+        return first.unionByName(c.where("c_custkey % 9 = 0").select("c_custkey", F.lit(2).alias("place"), F.lit('{"id":"other"}').alias("doc")))
+
+    def _v_listing_pages(self) -> DataFrame:
+        """Pages of one listing per nation; one lacks a page, one has a page twice, one leads back to a page."""
+        p = (self.raw("customer").groupBy(F.col("c_nationkey").alias("listing"), F.expr("c_custkey DIV 300").alias("no"))
+             .agg(F.count(F.lit(1)).alias("n_items")))
+        last = p.groupBy(F.col("listing").alias("l")).agg(F.max("no").alias("last"))
+        p = p.join(last, p["listing"] == F.col("l")).where("NOT (listing % 5 = 1 AND no = 2)").selectExpr(
+            "listing", "CASE WHEN no = 0 THEN '' ELSE concat('p', no) END AS token",
+            "CASE WHEN no < last THEN concat('p', no + 1) WHEN listing % 5 = 3 AND no > 0 THEN 'p1' END AS next_token", "n_items")
+        return p.unionByName(p.where("listing % 5 = 2 AND token = 'p1'"))
+
+    def _v_landed_groups(self) -> DataFrame:
+        """Groups as text, with faults."""
+        ua = F.col("unique_attribute").try_cast("bigint")
+        fault = lambda n, c, bad: F.when(ua % n == 0, F.lit(bad)).otherwise(F.col(c).cast("string")).alias(c)
+        return self.groups.select("google_groupid", fault(19, "group_name", None), fault(23, "group_email", None), "description", "etag",
+                                  fault(17, "department_id", "dept ?"), "group_type", "unique_attribute")
+
+    def _v_landed_members(self) -> DataFrame:
+        u = F.expr("TRY_CAST(substr(google_userid, 3) AS BIGINT)")
+        role = F.when(u % 31 == 0, F.lit("BOSS")).when(u % 37 != 0, F.col("role"))
+        return self.group_member.select(
+            "google_groupid", F.when(u % 43 != 0, F.col("google_userid")).alias("google_userid"), role.alias("role"),
+            F.when(u % 41 == 0, F.lit("ROBOT")).otherwise(F.col("type")).alias("type"), F.lit(None).cast("string").alias("etag"))
+
+    def _v_sis_students_now(self) -> DataFrame:
+        """The SIS students when the night writes: since they were read some addresses changed and some students left."""
+        return self.sis_students.where("student_id % 10 <> 4").withColumn("email", F.expr(
+            "CASE WHEN student_id % 10 = 3 THEN concat('moved', student_id, '@example.org') ELSE email END"))
+
+    def _v_older_teachers(self) -> DataFrame:
+        return self.raw("supplier").selectExpr(
+            "s_suppkey + 100000 AS users_dcid", "s_suppkey AS id", "s_nationkey AS schoolid",
+            "CASE WHEN s_suppkey % 7 = 0 THEN s_nationkey + 1 ELSE s_nationkey END AS homeschoolid", "concat('T', s_suppkey) AS teachernumber",
+            "CASE WHEN s_suppkey % 13 <> 5 THEN concat('F', s_suppkey % 9) END AS first_name", "concat('L', s_suppkey) AS last_name",
+            "CASE WHEN s_suppkey % 2 = 0 THEN 'Quinn' END AS middle_name", "s_suppkey % 3 AS status",
+            "CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey % 4 END AS staffstatus")
+
+    def _v_older_students(self) -> DataFrame:
+        return self.raw("customer").selectExpr(
+            "c_custkey AS id", "c_nationkey AS schoolid", "c_custkey + 500000 AS student_number", "c_mktsegment AS first_name",
+            "concat('Cust', c_custkey) AS last_name", "CAST(NULL AS STRING) AS middle_name",
+            "date_add(DATE'1990-01-01', CAST(c_custkey % 4000 AS INT)) AS dob",
+            "CASE c_custkey % 5 WHEN 0 THEN 'm' WHEN 1 THEN 'F' WHEN 2 THEN 'f' WHEN 3 THEN 'x' END AS gender",
+            "CAST(c_custkey % 13 AS INT) AS grade_level", "concat('R', c_custkey % 20) AS home_room",
+            "TIMESTAMP'2000-08-15 07:00:00' AS entrydate", "TIMESTAMP'2001-06-15 15:00:00' AS exitdate",
+            "CAST(c_custkey % 3 AS INT) AS enroll_status", "concat('web', c_custkey) AS student_web_id", "concat('par', c_custkey) AS web_id",
+            "CAST(c_custkey % 2 AS INT) AS student_allowwebaccess", "1 AS allowwebaccess")
+
+    def _v_older_field_values(self) -> DataFrame:
+        return self.raw("events").selectExpr(
+            "CASE WHEN event_id % 2 = 0 THEN 'teachers' ELSE 'students' END AS table_name", "user_id AS row_id", "event_type AS field",
+            "CASE event_id % 5 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN 'yes' ELSE CAST(event_id % 3 AS STRING) END AS value",
+            "event_id AS seq")
+
+    def user_array_path(self) -> str:
+        """The user resources as files of one JSON array each."""
+        path = f"{self._files_dir()}/user_arrays"
+        with _WRITE_LOCK:
+            if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                arrays = self.user_pages.select(F.get_json_object("page", "$.users").alias("value"))
+                arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+        return path
+
     # -- bundles for the plans ----------------------------------------
     def section_sources(self) -> dict[str, DataFrame]:
         return dict(section_teacher=self.section_teacher, section_term=self.section_term, terms=self.terms,

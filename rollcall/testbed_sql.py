@@ -61,7 +61,8 @@ VIEWS: dict[str, str] = {
         FROM (SELECT session_id FROM enrol UNION SELECT session_id FROM terms)""",
     "student_cf": """SELECT c_custkey AS student_id,
         CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey % 9 = 0 END AS email_suspend,
-        CASE WHEN c_custkey % 8 = 0 THEN 'alt.' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS override_email
+        CASE WHEN c_custkey % 8 = 0 THEN 'alt.' || CAST(c_custkey AS VARCHAR)
+             || CASE WHEN c_custkey % 16 = 0 THEN '' ELSE '@example.org' END END AS override_email
         FROM customer WHERE c_custkey % 50 <> 49""",
     "student_house": """SELECT c_custkey AS student_id, (c_custkey % 25) * 10000 + 2001 AS session_id,
         'House ' || CAST(c_custkey % 4 AS VARCHAR) AS house_name FROM customer WHERE c_custkey % 5 <> 0""",
@@ -165,7 +166,9 @@ VIEWS: dict[str, str] = {
         UNION ALL
         SELECT 'yog-' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(2030 - c_custkey % 13 AS VARCHAR),
           'gu' || CAST(c_custkey AS VARCHAR), 'MEMBER'
-        FROM customer WHERE c_custkey % 2 = 0)""",
+        FROM customer WHERE c_custkey % 2 = 0
+        UNION ALL
+        SELECT 'crs-' || CAST(p_partkey AS VARCHAR), 'gu' || CAST(p_partkey + 1 AS VARCHAR), 'MEMBER' FROM part WHERE p_partkey % 6 = 0)""",
 }
 
 
@@ -194,6 +197,8 @@ def with_views(sql: str, extra: dict[str, str] | None = None, replace: bool = Fa
         return sql
     ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in ordered)
     body = sql.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

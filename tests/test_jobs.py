@@ -55,3 +55,44 @@ def test_cli_help():
     r = subprocess.run([sys.executable, "-m", "rollcall", "--help"], cwd=root, capture_output=True, text=True,
                        timeout=120)
     assert r.returncode == 0 and "--tables" in r.stdout
+
+
+def test_a_night_that_ended_midway_goes_on(spark, tmpdir_path, monkeypatch):
+    """The stages before the break are read back, not computed again, and rows in are rows out and rejects."""
+    from rollcall.operators.runs import committed_runs, restore
+    from rollcall.plans import jobs
+
+    tb = Testbed(spark, SF)
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "section_group_sync", lambda *a: 1 / 0)
+        try:
+            nightly_run(tb, tmpdir_path, "r1")
+            raise AssertionError("the night did not end")
+        except ZeroDivisionError:
+            pass
+    assert committed_runs(spark, tmpdir_path) == []
+    before = {n: os.listdir(os.path.join(tmpdir_path, "run_id=r1", n)) for n in ("students_stage", "provision_outbox", "member_candidates")}
+    for name in ("section_groups", "student_extract"):
+        monkeypatch.setattr("rollcall.plans.extract." + name, lambda *a: 1 / 0)
+    audit = nightly_run(tb, tmpdir_path, "r1")
+    assert before == {n: os.listdir(os.path.join(tmpdir_path, "run_id=r1", n)) for n in before}
+    assert committed_runs(spark, tmpdir_path) == ["r1"]
+    for stage in ("provision_outbox", "group_requests", "member_candidates", "placements"):
+        found = restore(spark, tmpdir_path, "r1", stage)
+        by_sink = {r["sink"]: r["count"] for r in found.groupBy("sink").count().collect()}
+        assert sum(by_sink.values()) == audit[stage] and set(by_sink) <= {"accepted", "rejected"}
+
+
+def test_compare_and_set_leaves_changed_rows_alone(spark):
+    from rollcall.operators import apply as ap
+
+    frame = lambda data: spark.createDataFrame(data, "k long, a string, b int")
+    read = frame([(1, "x", 1), (2, None, 2), (3, "z", 3), (4, "w", 4)])
+    now = frame([(1, "x", 1), (2, "", 2), (3, "z", 3), (5, "n", 5)])  # 2 changed from null to blank, 4 went, 5 is new
+    from pyspark.sql import functions as F
+
+    changes = read.filter("k <> 3").select("k", F.lit("new").alias("a"), ap.row_version(read.columns).alias("read_version"))
+    found = ap.compare_and_set(now, changes, ["k"])
+    after = sorted(map(tuple, ap.snapshot_of(found, now.columns).collect()))
+    assert after == [(1, "new", 1), (2, "", 2), (3, "z", 3), (5, "n", 5)]
+    assert sorted(map(tuple, ap.conflicts_of(found, ["k"]).collect())) == [(2, "new", "conflict"), (4, "new", "gone")]

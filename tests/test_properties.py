@@ -16,7 +16,7 @@ def test_applying_the_patch_leaves_nothing_to_patch(spark):
     applied = q["apply_update"](spark, SF)
     tb = Testbed(spark, SF)
     desired = (acc.desired_staff(tb.staff_stage, tb.accounts, tb.cfg)
-               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit)))
+               .unionByName(acc.desired_students(tb.students_stage, tb.accounts, tb.orgunit, tb.cfg)))
     # ids whose desired rows disagree among themselves (tied enrolments) may keep one diff
     conflicted = desired.groupBy("id").agg(F.count_distinct(F.struct(*acc.ACCOUNT_FIELDS)).alias("n")) \
         .filter("n > 1").select("id")
