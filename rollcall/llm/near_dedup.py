@@ -4,9 +4,12 @@ Method.  A text is the set of its five-word shingles (a text of fewer words, but
 ProbMinHash1a draws for each shingle a Poisson process of arrivals with rate equal to its weight; each arrival picks
 one of ``registers`` registers, which keeps its earliest arrival's shingle.  A shingle stops as soon as its next
 arrival is later than every register of its text, so most shingles draw once.  Two texts agree in a register with
-the probability Jaccard of their weighted sets.  Every shingle weighs 1, however often it stands in its text, so
-this is the plain Jaccard of the sets, which defines a link.  Bands of ``rows`` registers make the buckets; pairs
-that meet in a bucket are verified by the exact Jaccard of their shingle sets.
+the probability Jaccard of their weighted sets.  Bands of ``rows`` registers make the buckets; pairs
+that meet in a bucket are verified by the exact Jaccard of their shingle sets, which defines a link.
+
+Two signatures make candidates.  In one a shingle weighs 1 + ln(its count in the text), so texts that repeat the same
+passages meet; in the other every shingle weighs 1, so that the register agreement is the verified Jaccard itself and a
+passage that only one of two texts repeats hides no link.  The sketch that rules pairs out is of the second kind.
 
 No pairs within a group.  The nodes are distinct texts (identical texts collapse by their md5 first).  In each of
 ``pivot_rounds`` rounds every bucket that still holds two or more components compares one pivot with its members
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import LOWER, U64, map_arrow, mix, slices, span_hashes, stored, uniform, utf8, word_spans
 
-SHINGLE, REGISTERS, BANDS, ROWS, SIMILARITY = 5, 256, 25, 5, 0.8
+SHINGLE, REGISTERS, BANDS, ROWS, SIMILARITY, WEIGHTED_BANDS = 5, 256, 25, 5, 0.8, 10
 _PER_LONG = 32  # registers in a long of a sketch, two bits each
 _KEY_BITS = U64(54)
 _COEFFICIENTS = mix(np.arange(1, 65, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
@@ -90,8 +93,9 @@ def prob_min_hash(rows: np.ndarray, keys: np.ndarray, weights: np.ndarray, n_row
     return kept.reshape(n_rows, registers)
 
 
-def band_keys(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=U64) * U64(0xA0761D6478BD642F), (len(kept), bands)).copy()
+def band_keys(kept: np.ndarray, bands: int, rows: int, first: int = 1) -> np.ndarray:
+    """Bucket keys of bands numbered from ``first`` on."""
+    key = np.broadcast_to(np.arange(first, first + bands, dtype=U64) * U64(0xA0761D6478BD642F), (len(kept), bands)).copy()
     for k in range(rows):
         key = mix(key ^ kept[:, k:bands * rows:rows])
     return key.view(np.int64)
@@ -122,8 +126,10 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def signatures(docs: DataFrame, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
-    """One row per distinct text: node, n_shingles, the registers' sketch and the bucket keys (none for a text without words)."""
+def signatures(docs: DataFrame, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE,
+               weighted_bands: int = WEIGHTED_BANDS) -> DataFrame:
+    """One row per distinct text: node, n_shingles, the sketch of the registers of plain weights and the bucket keys of both kinds
+    of weights (none for a text without words)."""
     per_row = -(-registers // _PER_LONG)
 
     def sign(batches):
@@ -131,13 +137,15 @@ def signatures(docs: DataFrame, registers: int = REGISTERS, bands: int = BANDS,
             buf, offsets = utf8(batch.column(1))
             sizes, keys, lengths, sketches = [], [], [], [np.zeros((0, per_row), np.int64)]
             for a, b in slices(offsets):
-                row, key, _ = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
+                row, key, count = shingles(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 kept = prob_min_hash(row, key, np.ones(len(key)), b - a, registers)
+                heavy = prob_min_hash(row, key, 1 + np.log(count), b - a, weighted_bands * rows) if weighted_bands else kept[:, :0]
                 size = np.bincount(row, minlength=b - a)
                 sizes.append(size)
                 sketches.append(sketch(kept))
-                keys.append(band_keys(kept, bands, rows)[size > 0].ravel())
-                lengths.append(np.where(size > 0, bands, 0))
+                both = np.concatenate([band_keys(kept, bands, rows), band_keys(heavy, weighted_bands, rows, bands + 1)], axis=1)
+                keys.append(both[size > 0].ravel())
+                lengths.append(np.where(size > 0, bands + weighted_bands, 0))
             cut = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]) if lengths else np.zeros(1)
             values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
@@ -202,9 +210,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, registers: int = REGISTERS, bands: int = BANDS,
-            rows: int = ROWS, width: int = SHINGLE, pivot_rounds: int = 2) -> DataFrame:
+            rows: int = ROWS, width: int = SHINGLE, pivot_rounds: int = 2, weighted_bands: int = WEIGHTED_BANDS) -> DataFrame:
     """(node, comp) for the texts that share a bucket with another text; the others are alone."""
-    nodes = stored(signatures(docs, registers, bands, rows, width), "signatures")
+    nodes = stored(signatures(docs, registers, bands, rows, width, weighted_bands), "signatures")
     spread = nodes.select(F.explode("buckets").alias("bucket"), "node")
     shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     members = stored(spread.join(shared.select("bucket"), "bucket"), "members")
@@ -252,7 +260,8 @@ def labelled(docs: DataFrame, **options) -> DataFrame:
 def report(docs: DataFrame, **options) -> DataFrame:
     """Per row: doc_id, class_id (the least doc_id of its class) and n_class, the documents in the class."""
     rows = stored(labelled(docs.select("doc_id", "text"), **options).select("doc.doc_id", "comp"), "labelled")
-    heads = rows.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
+    # written, so that the join lies between plain exchanges and adaptive execution may split the rows of a large class
+    heads = stored(rows.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class")), "heads")
     return rows.join(heads, "comp").select("doc_id", "class_id", "n_class")
 
 
