@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rollcall.config import SyncConfig
+from rollcall.plans.tables import DomainTables
 from rollcall.session import ensure_checkpoint_dir, listing, path_exists
 from rollcall.sources.readers import read_csv_with_header
 
@@ -85,36 +86,27 @@ CONFIG = SyncConfig(
 )
 
 
-class Testbed:
+class Testbed(DomainTables):
     """Lazily built domain views over one scale-factor folder."""
 
     __test__ = False  # not a pytest test class
 
     def __init__(self, spark: SparkSession, sf_dir: str, config: SyncConfig = CONFIG,
                  materialize: bool = True):
-        self.spark = spark
+        super().__init__(spark, config)
         self.sf_dir = sf_dir.rstrip("/")
-        self.cfg = config
         self.materialize = materialize
-        self._cache: dict[str, DataFrame] = {}
         self._folder: str | None = None
 
     # -- driver tables -------------------------------------------------
     def raw(self, name: str) -> DataFrame:
         return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
-    def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
-            raise AttributeError(name)
+    def _build(self, name: str) -> DataFrame | None:
         builder = getattr(type(self), f"_v_{name}", None)
-        if builder is None:
-            raise AttributeError(name)
-        if name not in self._cache:
-            if self.materialize and name in MATERIALIZED:
-                self._cache[name] = self._stored(name, lambda: builder(self))
-            else:
-                self._cache[name] = builder(self)
-        return self._cache[name]
+        if builder is not None and self.materialize and name in MATERIALIZED:
+            return self._stored(name, lambda: builder(self))
+        return super()._build(name)
 
     def _stored(self, name: str, build) -> DataFrame:
         """Read the written table, writing it first when it is missing."""
@@ -405,29 +397,6 @@ class Testbed:
         return (pupils.unionByName(teachers).unionByName(staff).unionByName(cohort).unionByName(course)
                 .withColumn("type", F.lit("USER")))
 
-    # -- stage tables and normalised current state --------------------
-    def _v_staff_stage(self) -> DataFrame:
-        from rollcall.plans import accounts, extract
-        return accounts.staff_stage(extract.staff_extract(self.sis_users))
-
-    def _v_students_stage(self) -> DataFrame:
-        from rollcall.plans import extract
-        return extract.student_extract(self.student_sources(), self.cfg)
-
-    def _v_accounts(self) -> DataFrame:
-        from rollcall.plans import accounts
-        return accounts.normalise_accounts(self.account)
-
-    def _v_sections(self) -> DataFrame:
-        from rollcall.plans import extract
-        return extract.section_groups(self.section_sources(), self.cfg)
-
-    def _v_schedule(self) -> DataFrame:
-        from rollcall.plans import extract
-        return extract.student_schedule(dict(terms=self.terms, sessions=self.sessions,
-                                             section_term=self.section_term,
-                                             section_student=self.section_student), self.cfg)
-
     # -- directory listings, files and responses ----------------------
     def _files_dir(self) -> str:
         if self._folder is None:
@@ -690,16 +659,3 @@ class Testbed:
                 arrays = self.user_pages.select(F.get_json_object("page", "$.users").alias("value"))
                 arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
         return path
-
-    # -- bundles for the plans ----------------------------------------
-    def section_sources(self) -> dict[str, DataFrame]:
-        return dict(section_teacher=self.section_teacher, section_term=self.section_term, terms=self.terms,
-                    sessions=self.sessions, sites=self.sis_sites, grade_levels=self.grade_levels,
-                    section_course=self.section_course, courses=self.courses,
-                    section_timeblock=self.section_timeblock, timeblocks=self.timeblocks,
-                    users=self.sis_users, site_labels=self.site_labels)
-
-    def student_sources(self) -> dict[str, DataFrame]:
-        return dict(students=self.sis_students, enrol=self.enrol, sessions=self.sessions,
-                    sites=self.sis_sites, custom_fields=self.student_cf, grade_levels=self.grade_levels,
-                    houses=self.student_house)
