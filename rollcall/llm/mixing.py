@@ -18,7 +18,8 @@ hashes of the seed and the leaf's place, so reruns agree, whatever the partition
 
 Defined results: a null or empty text has size 0; it takes part in the draw but adds no word.  A null source is a
 source of its own, last in order.  A source without words has target 0 and is taken once per row at most zero times.
-Repeated rows are separate documents; which of several equal rows is drawn is not told apart.
+Repeated rows are separate documents, numbered so that they spread over leaves; which of several equal rows is drawn is not
+told apart.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import U64, map_arrow, mix, stored, uniform
+from rollcall.operators.ranking import sequence_within
 
 MOST_COPIES, LEAF_ROWS, FAN_IN, SEED = 3, 20_000, 64, 20240229
 
@@ -144,6 +146,15 @@ def reduce_leaves(units: DataFrame, level: int, seed: int) -> DataFrame:
     return map_arrow(ordered, run, UNIT)
 
 
+def _numbered_repeats(slim: DataFrame) -> DataFrame:
+    """``slim`` with ``nth``: rows equal in doc_id, size and source are numbered, others hold 0, so that repeated rows spread over leaves."""
+    equal = F.xxhash64("doc_id", "size", "source")
+    often = slim.groupBy(equal.alias("equal")).agg(F.count("*").alias("n")).where("n > 1").select("equal")
+    repeated = slim.withColumn("equal", equal).join(often, "equal", "left_semi").select("equal", "key")
+    nth = sequence_within(repeated, ["equal"], ["key"], out="nth").select("key", "nth")
+    return slim.join(stored(nth, "repeats"), "key", "left").withColumn("nth", F.coalesce("nth", F.lit(0)))
+
+
 def copies(docs: DataFrame, most_copies: int = MOST_COPIES, leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN,
            seed: int = SEED, row: Column | None = None) -> DataFrame:
     """Per row of ``docs``: key, doc_id, source, size, source_size, target and copies, how often the mix takes the row.
@@ -161,8 +172,8 @@ def copies(docs: DataFrame, most_copies: int = MOST_COPIES, leaf_rows: int = LEA
         kinds.drop("words"), F.col("s").eqNullSafe(F.col("source"))).select("s", "kind", "salts", "source_size", "target"), "plan")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(share + _NEAR).cast("long")
-    planned = slim.withColumn("k", kind).join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("k") == F.col("kind")))
-    spot = F.xxhash64(F.lit(seed), "doc_id", "size", "source")
+    planned = _numbered_repeats(slim).withColumn("k", kind).join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("k") == F.col("kind")))
+    spot = F.xxhash64(F.lit(seed), "doc_id", "size", "source", "nth")
     place = F.concat_ws("/", F.sha2(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-")), 256), F.lpad((9999 - F.col("kind")).cast("string"), 4, "0"),
                         F.lpad(F.pmod(spot, F.col("salts")).cast("string"), 12, "0"))
     units = planned.select(place.alias("leaf"), F.format_string("%019d", F.lit(10**18) - F.col("size")).alias("size_place"), F.hex(spot).alias("spot"),
@@ -175,8 +186,7 @@ def copies(docs: DataFrame, most_copies: int = MOST_COPIES, leaf_rows: int = LEA
     while n:
         # leaves of a source in order; fan_in neighbours meet
         level += 1
-        number = F.row_number().over(Window.partitionBy("source").orderBy("leaf", "key")) - 1
-        ranked = rest.withColumn("source", F.split("leaf", "/")[0]).withColumn("i", number)
+        ranked = sequence_within(rest.withColumn("source", F.split("leaf", "/")[0]), ["source"], ["leaf", "key"], out="i").withColumn("i", F.col("i") - 1)
         up = ranked.select(F.concat_ws("/", "source", F.format_string("%012d", F.floor(F.col("i") / fan_in).cast("long"))).alias("leaf"),
                            F.format_string("%012d", F.col("i").cast("long")).alias("place"), "key", "p", "size")
         done = stored(reduce_leaves(up, level, seed), "residuals")
