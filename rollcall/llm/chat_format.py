@@ -12,7 +12,8 @@ it picks the states at the cuts.  A second pass repairs every run between its fi
 bounded by a partition, whatever the length of a conversation.
 
 Result, one row per input turn: the repaired role, the action, the role of an empty turn inserted before it, and the
-rendered piece.  The pieces of a conversation in order of position are its rendered text.
+rendered piece.  The pieces of a conversation in order of position are its rendered text.  A text that holds a turn marker gets a
+backslash into it (:func:`escaped`), so no text forges a turn, and :func:`unescaped` gives it back.
 
 Defined results: roles are trimmed, lower-cased and freed of aliases; a null or unknown role must be relabelled.
 A null text is empty.  Turns of equal number are ordered by role and md5 of the text, null first; repeated rows are turns of their
@@ -21,6 +22,7 @@ own.  A null conv_id is a conversation of its own.  An empty table gives an empt
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -105,8 +107,23 @@ def repair(roles: list[int], table: dict, first: int = START, last: int | None =
     return out[::-1]
 
 
+_MARKER = re.compile(r"<(\\*\|im_(?:start|end)\|>)")
+_ESCAPED = re.compile(r"<\\(\\*\|im_(?:start|end)\|>)")
+
+
+def escaped(text: str) -> str:
+    """A turn's text with one more backslash in what would read as a turn marker, so that no text can begin or end a turn."""
+    return _MARKER.sub(r"<\\\1", text)
+
+
+def unescaped(text: str) -> str:
+    """What :func:`escaped` was given."""
+    return _ESCAPED.sub(r"<\1", text)
+
+
 def piece(role: int, action: str, inserted: int, text: str, first: bool, final: bool) -> str:
     """What a turn adds to the rendered conversation."""
+    text = escaped(text)
     if action.endswith("merge"):
         out = "\n" + text
     else:
