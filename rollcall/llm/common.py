@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall.session import ensure_checkpoint_dir
 
 #: Text bytes that the numpy operators handle at once (a longer text is handled alone, whole).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1023
 
 U64 = np.uint64

@@ -20,13 +20,13 @@ texts share roots a tree of the texts that have it.  In a tree:
    of at most ``leaf`` points, cut wherever a task ends, so a tree of any size spans as many tasks as it needs.  Pairs of
    leaves of a tree are pruned by their boxes, and leaves of one same component are passed over.
 3. *Points.*  In the pairs of leaves that are left, all pairs of points of different components are bounded by their
-   summed minima, and the rest are verified.
+   summed minima, in the first tree that holds both, and the rest are verified.
 
-So every pair of sets that can link is in one component before step 3, or is tested: no link is lost.  Bounds and tests are in
+Trees with the same members need the same tests: one of them stands for all.  So every pair of sets that can link is in one component before step 3, or is tested: no link is lost.  Bounds and tests are in
 whole numbers.
 
-Scale: texts are read three times where they lie (group counts, signatures, points of texts that share a shingle) and
-never shuffled whole; a signature is a seventh of a text's shingles.  The only broadcast is the table of ``sketch`` groups.
+Scale: texts are read three times (group counts, signatures, points) and travel once, one of each node per task; a signature
+is a seventh of a text's shingles.  The only broadcast is the table of ``sketch`` groups.
 Hot trees and components are reduced by partial aggregates and joined back between plain exchanges, where adaptive
 execution may split the hot side.  Components come from rounds of star joins, never on the driver.
 
@@ -37,6 +37,8 @@ without words its own doc_id).  Repeated rows are rows like any other.  Only doc
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -44,13 +46,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import LOWER, U64, map_arrow, mix, slices, span_hashes, stored, utf8, word_spans
+from rollcall.llm.common import LOWER, U64, discard, map_arrow, mix, slices, span_hashes, staged, stored, utf8, word_spans
 from rollcall.llm.near_dedup import components
 
-WIDTH, PERCENT, GROUPS, SKETCH, LEAF, PIVOT_ROUNDS = 4, 85, 128, 1 << 16, 256, 2
+WIDTH, PERCENT, GROUPS, SKETCH, LEAF, PIVOT_ROUNDS = 4, 85, 256, 1 << 16, 256, 2
 _KEY_BITS = U64(54)
 _KEY = U64((1 << 54) - 1)
-_CLASS_BITS = 14
+_CLASS_BITS, _KEY_BYTES, _MANY = 14, 6, (1 << 16) - 1
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=U64) * U64(0xC2B2AE3D27D4EB4F)) | U64(1)
 
 #: Bytes of a word: all but blank and 0x09 to 0x0D.
@@ -151,7 +153,8 @@ def signatures(docs: DataFrame, percent: int, width: int, sketch: int) -> DataFr
 
 
 def points(texts: DataFrame, groups: int, width: int) -> DataFrame:
-    """(id, n, counts, keys) of texts (id, text): the point as ``groups`` unsigned 32-bit numbers, the sorted set as 64-bit numbers."""
+    """(id, n, counts, keys) of texts (id, text): the point as ``groups`` unsigned 16-bit numbers (the greatest stands for all beyond),
+    the set as 48-bit numbers, ascending."""
     def make(batches):
         for batch in batches:
             for a, rows, tagged in _sets(batch.column(1), width):
@@ -159,15 +162,23 @@ def points(texts: DataFrame, groups: int, width: int) -> DataFrame:
                 key = tagged & _KEY
                 n = np.bincount(row, minlength=rows)
                 spot = ((key >> U64(18)) % U64(groups)).astype(np.int64)
-                counts = np.bincount(row * groups + spot, minlength=rows * groups).astype("<u4").reshape(rows, groups)
-                raw, ends = key.astype("<u8").tobytes(), 8 * np.cumsum(n)
+                counts = np.minimum(np.bincount(row * groups + spot, minlength=rows * groups), _MANY).astype("<u2").reshape(rows, groups)
+                raw = (key >> U64(6)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
+                ends = _KEY_BYTES * np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, rows), pa.array(n, pa.int64()), pa.array([c.tobytes() for c in counts], pa.binary()),
-                     pa.array([raw[e - 8 * m:e] for e, m in zip(ends.tolist(), n.tolist())], pa.binary())], ["id", "n", "counts", "keys"])
+                     pa.array([raw[e - _KEY_BYTES * m:e] for e, m in zip(ends.tolist(), n.tolist())], pa.binary())], ["id", "n", "counts", "keys"])
 
     return map_arrow(texts, make, "id long, n long, counts binary, keys binary")
 
 
+def _keys(raw) -> np.ndarray:
+    """The numbers of a set."""
+    wide = np.zeros((len(raw) // _KEY_BYTES, 8), np.uint8)
+    wide[:, :_KEY_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _KEY_BYTES)
+    return wide.view("<u8").ravel()
+
+
 # ---------------------------------------------------------------- bounds and tests
 
 def reaches(overlap, size_a, size_b, percent: int):
@@ -177,19 +188,39 @@ def reaches(overlap, size_a, size_b, percent: int):
 
 def _counts(column: pa.Array) -> np.ndarray:
     """The points of a binary column, one row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int64).reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.uint16)
+
+
+def summed_minima(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Row by row, what bounds the overlap from above; where both counts are too many to tell, anything may be shared."""
+    least = np.minimum(x, y)
+    total = least.sum(axis=1, dtype=np.int64)
+    return np.where((least == _MANY).any(axis=1), np.int64(1) << 40, total)
+
+
+@contextmanager
+def small_batches(spark, rows: int):
+    """Arrow batches of few rows, for tables with large ones; what is written inside keeps to it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def bounded(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose summed minima may reach the threshold."""
     def check(batches):
         for batch in batches:
-            x, y = _counts(batch.column(2)), _counts(batch.column(3))
-            good = reaches(np.minimum(x, y).sum(axis=1), x.sum(axis=1), y.sum(axis=1), percent) if len(x) else np.zeros(0, bool)
+            n, m = (batch.column(k).to_numpy() for k in (4, 5))
+            minima = summed_minima(_counts(batch.column(2)), _counts(batch.column(3))) if len(n) else n
+            good = reaches(minima, n, m, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), batch.column(1).filter(pa.array(good))], ["a", "b"])
 
-    left, right = (found.select(F.col("id").alias(s), F.col("counts").alias(f"counts_{s}")) for s in "ab")
-    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "counts_a", "counts_b"), check, "a long, b long")
+    left, right = (found.select(F.col("id").alias(s), F.col("counts").alias(f"counts_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
+    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "counts_a", "counts_b", "n_a", "n_b"), check, "a long, b long")
 
 
 def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -198,7 +229,7 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                x, y = _keys(x.as_buffer()), _keys(y.as_buffer())
                 both = np.concatenate([x, y])
                 both.sort()
                 good.append(bool(reaches(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)))
@@ -211,43 +242,103 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 # ---------------------------------------------------------------- leaves
 
-LEAVES = "tree long, leaf long, least long, most long, comp_lo long, comp_hi long, box array<long>, ids array<long>, comps array<long>, counts binary"
+LEAVES = ("tree long, leaf long, least long, most long, comp_lo long, comp_hi long, box array<long>, ids array<long>, comps array<long>, "
+          "sizes array<long>, trees array<long>, counts binary, a array<long>, b array<long>")
+
+
+@dataclass
+class Leaf:
+    """Points of one tree: ids, components, sizes, counts, and the trees that each of them is in (ascending, -1 fills up)."""
+
+    ids: np.ndarray
+    comps: np.ndarray
+    n: np.ndarray
+    counts: np.ndarray
+    trees: np.ndarray
+
+
+def near_points(left: Leaf, right: Leaf, tree: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of points of two leaves of a tree (or of one leaf) in different components whose summed minima may reach the
+    threshold, unless an earlier tree holds both, which has them already."""
+    a, b = [], []
+    for i, (point, n) in enumerate(zip(left.counts, left.n)):
+        on = (right.comps != left.comps[i]) & (100 * right.n >= percent * n) & (100 * n >= percent * right.n)
+        if right is left:
+            on[:i + 1] = False
+        on = np.flatnonzero(on)
+        on = on[reaches(summed_minima(right.counts[on], point[None, :]), right.n[on], n, percent)]
+        if len(on):
+            theirs = right.trees[on]
+            shared = np.isin(theirs, left.trees[i][left.trees[i] >= 0])
+            on = on[np.where(shared, theirs, _KEY.astype(np.int64)).min(axis=1) == tree]
+        a.append(np.full(len(on), left.ids[i]))
+        b.append(right.ids[on])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _padded(lists: pa.Array) -> np.ndarray:
+    """A list column as rows of a matrix, -1 behind shorter lists."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(lists), int(sizes.max(initial=1))), -1, np.int64)
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
 
 
 def leaves(rows: DataFrame, leaf: int, percent: int) -> DataFrame:
-    """Pack (tree, id, comp, n, counts) into leaves of at most ``leaf`` points of one tree."""
+    """Pack (tree, id, comp, n, counts, trees) into leaves of at most ``leaf`` points of one tree.
+
+    A tree that is one leaf, with no rows in another task, needs no box: its row holds its near points (a, b) instead.
+    """
+    empty = {"box": [], "ids": [], "comps": [], "sizes": [], "trees": [], "counts": b"", "a": [], "b": []}
+    lists = pa.list_(pa.int64())
+    kinds = {"tree": pa.int64(), "leaf": pa.int64(), "least": pa.int64(), "most": pa.int64(), "comp_lo": pa.int64(), "comp_hi": pa.int64(),
+             "box": lists, "ids": lists, "comps": lists, "sizes": lists, "trees": lists, "counts": pa.binary(), "a": lists, "b": lists}
+
     def pack(batches):
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 33
         held: list[pa.RecordBatch] = []
+        headless = True  # whether leaves of the first tree held are out already, or may be: it may begin in the task before
 
-        def leaf_of(part: pa.Table, at: int):
+        def row_of(part: pa.Table, whole: bool) -> dict:
             tree, ids, comps, n = (part.column(k).to_numpy() for k in range(4))
             counts = part.column(4).combine_chunks()
-            box = _counts(counts).max(axis=0)
-            values = [tree[0], at, n.min(), n.max(), comps.min(), comps.max(), box.tolist(), ids.tolist(), comps.tolist(), b"".join(counts.to_pylist())]
-            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 3 + [pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)],
-                                              ["tree", "leaf", "least", "most", "comp_lo", "comp_hi", "box", "ids", "comps", "counts"])
+            own = Leaf(ids, comps, n, _counts(counts), _padded(part.column(5).combine_chunks()))
+            row = empty | {"tree": int(tree[0]), "leaf": number, "least": int(n.min()), "most": int(n.max()),
+                           "comp_lo": int(comps.min()), "comp_hi": int(comps.max())}
+            if whole:
+                a, b = near_points(own, own, int(tree[0]), percent)
+                return row | {"a": a.tolist(), "b": b.tolist()}
+            box = own.counts.max(axis=0).astype(np.int64)
+            box[box == _MANY] = 1 << 40
+            return row | {"box": box.tolist(), "ids": ids.tolist(), "comps": comps.tolist(), "sizes": n.tolist(),
+                          "trees": own.trees.ravel().tolist(), "counts": b"".join(counts.to_pylist())}
 
         def full(last: bool):
             """Leaves of all that is held but, unless ``last``, the rows that may still belong to an open leaf."""
-            nonlocal number, held
+            nonlocal number, held, headless
             if not held:
                 return
             part = pa.Table.from_batches(held)
             tree = part.column(0).to_numpy()
-            start = np.flatnonzero(np.diff(tree, prepend=tree[0] - 1) != 0)
+            start = np.flatnonzero(np.diff(tree, prepend=tree[0] - 1) != 0).tolist()
+            out: list[dict] = []
+            rest = len(tree)
             for a, b in zip(start, [*start[1:], len(tree)]):
+                whole = b - a <= leaf and b < len(tree) and not (headless and a == 0)
                 for at in range(a, b, leaf):
                     end = min(at + leaf, b)
-                    if not last and end == len(tree) and end - at < leaf:
-                        held = part.slice(at).to_batches()
-                        return
-                    yield leaf_of(part.slice(at, end - at), number)
+                    if not last and end == len(tree):  # the tree may go on
+                        rest = at
+                        break
+                    out.append(row_of(part.slice(at, end - at), whole))
                     number += 1
-            held = []
+            headless = rest not in start or rest == 0 and headless
+            held = part.slice(rest).to_batches()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in kinds.items()], list(kinds))
 
         for batch in batches:
             held.append(batch)
@@ -256,45 +347,44 @@ def leaves(rows: DataFrame, leaf: int, percent: int) -> DataFrame:
 
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
     order = [F.col("tree"), size_class, F.col("comp"), F.col("n"), F.col("id")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("tree", "id", "comp", "n", "counts")
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("tree", "id", "comp", "n", "counts", "trees")
     return map_arrow(dealt, pack, LEAVES)
 
 
 def leaf_pairs(packed: DataFrame, percent: int) -> DataFrame:
     """Pairs of leaves of a tree whose boxes may hold a link between components."""
-    slim = packed.select("tree", "leaf", "least", "most", "comp_lo", "comp_hi", "box")
+    slim = packed.where("size(ids) > 0").select("tree", "leaf", "least", "most", "comp_lo", "comp_hi", "box")
     x, y = slim.alias("x"), slim.alias("y")
     minima = F.aggregate(F.zip_with("x.box", "y.box", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda total, m: total + m)
     same = (F.col("x.comp_lo") == F.col("x.comp_hi")) & (F.col("y.comp_lo") == F.col("y.comp_hi")) & (F.col("x.comp_lo") == F.col("y.comp_lo"))
     sizes = (100 * F.col("x.most") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.least"))
     near = x.join(y, (F.col("x.tree") == F.col("y.tree")) & (F.col("x.leaf") <= F.col("y.leaf")) & sizes & ~same)
-    return near.where(reaches(minima, F.col("x.least"), F.col("y.least"), percent)).select(F.col("x.leaf").alias("x"), F.col("y.leaf").alias("y"))
+    return near.where(reaches(minima, F.col("x.least"), F.col("y.least"), percent)).select(F.col("x.tree").alias("tree"), F.col("x.leaf").alias("x"), F.col("y.leaf").alias("y"))
 
 
 def point_pairs(packed: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of points of different components in pairs of leaves whose summed minima may reach the threshold."""
+    """The near points (a, b) of trees that are one leaf, and of the pairs of leaves of the others; each pair once."""
+    columns = ("ids", "comps", "sizes", "counts", "trees")
+
+    def leaf_of(values) -> Leaf:
+        ids, comps, n, counts, trees = values
+        k = len(ids.values)
+        return Leaf(*(v.values.to_numpy() for v in (ids, comps, n)), np.frombuffer(counts.as_buffer(), "<u2").reshape(k, -1),
+                    trees.values.to_numpy().reshape(k, -1))
+
     def meet(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, comps, counts = zip(*[(batch.column(s)[k].values.to_numpy(), batch.column(s + 1)[k].values.to_numpy(),
-                                            np.frombuffer(batch.column(s + 2)[k].as_buffer(), "<u4")) for s in (0, 3)])
-                left, right = (c.reshape(len(i), -1) for c, i in zip(counts, ids))
-                size = right.sum(axis=1, dtype=np.int64)
-                a, b = [], []
-                for i, point in enumerate(left):
-                    n = int(point.sum(dtype=np.int64))
-                    on = np.flatnonzero((comps[1] != comps[0][i]) & (100 * size >= percent * n) & (100 * n >= percent * size))
-                    on = on[reaches(np.minimum(right[on], point).sum(axis=1, dtype=np.int64), size[on], n, percent)]
-                    a.append(np.full(len(on), ids[0][i]))
-                    b.append(ids[1][on])
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    blocks = packed.select("leaf", "ids", "comps", "counts")
-    left = blocks.select(F.col("leaf").alias("x"), *[F.col(c).alias(f"{c}_x") for c in ("ids", "comps", "counts")])
-    right = blocks.select(F.col("leaf").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("ids", "comps", "counts")])
-    both = near.join(left, "x").join(right, "y").select(*[f"{c}_{s}" for s in "xy" for c in ("ids", "comps", "counts")])
-    return map_arrow(both, meet, "a long, b long").distinct()
+                row = [batch.column(c)[k] for c in range(batch.num_columns)]
+                left = leaf_of(row[3:8])
+                right = left if row[1] == row[2] else leaf_of(row[8:])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in near_points(left, right, row[0].as_py(), percent)], ["a", "b"])
+
+    blocks = packed.where("size(ids) > 0").select("leaf", *columns)
+    left, right = (blocks.select(F.col("leaf").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "xy")
+    both = near.join(left, "x").join(right, "y").select("tree", "x", "y", *[f"{c}_{s}" for s in "xy" for c in columns])
+    whole = packed.where("size(a) > 0").select(F.inline(F.arrays_zip("a", "b")))
+    return whole.unionByName(map_arrow(both, meet, "a long, b long"))
 
 
 # ---------------------------------------------------------------- the join
@@ -302,14 +392,23 @@ def point_pairs(packed: DataFrame, near: DataFrame, percent: int) -> DataFrame:
 def join_texts(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, groups: int = GROUPS, sketch: int = SKETCH,
                leaf: int = LEAF, pivot_rounds: int = PIVOT_ROUNDS) -> tuple[DataFrame, DataFrame]:
     """The distinct texts (node, id, n), and the component (id, comp) of each that shares a first shingle with another."""
-    signed = stored(signatures(docs, percent, width, sketch), "join-signatures")
-    spread = signed.select("id", F.explode("first").alias("tree"))
-    shared = spread.groupBy("tree").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    members = stored(spread.join(shared.select("tree", "m"), "tree"), "join-members")
-    own = stored(members.select("id").distinct().join(signed.select("id", "node", "n"), "id"), "join-own")
-    texts = docs.select(text_key(F.col("text")).alias("node"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(own.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "text")
-    found = stored(points(texts, groups, width), "join-points")
+    spark = docs.sparkSession
+    signed, signed_folder = staged(signatures(docs, percent, width, sketch), "join-signatures")
+    names = stored(signed.select("node", "id", "n"), "join-names")
+    spread = signed.select("id", F.explode(F.array_distinct("first")).alias("tree"))
+    often = spread.groupBy("tree").agg(F.count("*").alias("m")).where("m > 1")
+    every = stored(spread.join(often, "tree"), "join-every")
+    discard(spark, signed_folder)
+    # many trees have the same members: one of them says it all
+    alike = every.groupBy("tree", "m").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"),
+                                           F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    trees = alike.groupBy("m", "lo", "hi", "x", "y").agg(F.min("tree").alias("tree")).select("tree")
+    members = stored(every.join(trees, "tree"), "join-members")
+    own = stored(members.select("id").distinct().join(names, "id"), "join-own")
+    # one text of each node per task travels, once
+    texts = docs.select(text_key(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"])
+    texts = texts.join(own.select("node", "id"), "node").select("id", "text")
+    found, found_folder = staged(points(texts, groups, width), "join-points")
 
     label = stored(own.select("id", F.col("id").alias("comp"), "n"), "join-label")
     tested: list[DataFrame] = []
@@ -323,21 +422,27 @@ def join_texts(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, grou
             pairs = now.join(split, "tree").where((F.col("comp") != F.col("pivot_comp")) & fits)
             pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         else:
-            rest = stored(now.join(split.select("tree"), "tree"), "join-rest").join(found.select("id", "counts"), "id")
-            packed = stored(leaves(rest, leaf, percent), "join-leaves")
+            rest = stored(now.join(split.select("tree"), "tree"), "join-rest")
+            trees = rest.groupBy("id").agg(F.sort_array(F.collect_set("tree")).alias("trees"))  # a text has a seventh of its shingles at most
+            rest = rest.join(found.select("id", "counts"), "id").join(trees, "id")
+            packed, packed_folder = staged(leaves(rest, leaf, percent), "join-leaves")
             pairs = point_pairs(packed, stored(leaf_pairs(packed, percent), "join-near"), percent)
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "join-pairs")
+        with small_batches(spark, 32 if turn == pivot_rounds else 10_000):
+            pairs = stored(pairs, "join-pairs")
         tested.append(pairs)
         kept = stored(bounded(pairs, found, percent), "join-bounded") if turn < pivot_rounds else pairs
-        links = verified(kept, found, percent)
+        with small_batches(spark, 256):
+            links = stored(verified(kept, found, percent), "join-links")
         for side in ("a", "b"):
             links = links.join(label.select(F.col("id").alias(side), F.col("comp").alias(f"{side}_comp")), side)
         joined = components(links.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")))
         joined = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
         label = stored(label.join(joined, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"), "n"), "join-label")
-    return signed.select("node", "id", "n"), label.select("id", "comp")
+    discard(spark, found_folder)
+    discard(spark, packed_folder)
+    return names, label.select("id", "comp")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

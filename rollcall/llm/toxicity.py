@@ -10,11 +10,11 @@ taken over passages of ``passage`` words (the whole text is covered), and the te
 toxic passage; in training the passage that scores highest stands for its text.
 
 Scale: the model is fitted on a documented, bounded sample of labelled rows (``per_class`` rows of each label, the
-first by hash) on the driver; its two classes collapse to one number per bucket, which is broadcast (``buckets`` floats).
+first by hash; of documents that repeat their doc_id at most twice as many rows, the first by doc_id and text) on the driver; its two classes collapse to one number per bucket, which is broadcast (``buckets`` floats).
 Scoring reads every text once, without a shuffle.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone.  Rows with a null doc_id
-count as held out.  Without labelled rows of both labels every score is 0.5.  Repeated rows repeat their scores.
+count as held out.  A doc_id with both labels teaches both.  Without labelled rows of both labels every score is 0.5.  Repeated rows repeat their scores.
 """
 
 from __future__ import annotations
@@ -98,7 +98,7 @@ def train(texts: list[str | None], labels: np.ndarray, buckets: int = BUCKETS, d
     seen_v, seen_s, seen_b = np.full(buckets, 1e-6, np.float32), np.full((dim, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
     buf, offsets = utf8(pa.array(texts, pa.string()))
     bags: list[list[tuple[np.ndarray, np.ndarray]]] = []  # per text, per passage: buckets and their shares
-    for a, b in slices(offsets, SLICE_BYTES // 8):
+    for a, b in slices(offsets, SLICE_BYTES // 2):
         bucket, where, row = features(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], passage, buckets)
         key, count = np.unique(where * buckets + bucket, return_counts=True)
         where, bucket = key // buckets, key % buckets
@@ -174,7 +174,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         fitted = Model(*shared.value)
         for batch in batches:
             buf, offsets = utf8(batch.column(1))
-            parts = [fitted.scores(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets, SLICE_BYTES // 8)]
+            parts = [fitted.scores(buf[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets, SLICE_BYTES // 2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))], ["doc", "score"])
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"].cast("string").alias("text"))

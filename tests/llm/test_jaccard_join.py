@@ -118,16 +118,37 @@ def test_bounds_hold():
 def test_leaves_span_tasks(spark):
     """One tree over many tasks: every pair that may link is found, and leaves of one component are passed over."""
     rng = np.random.default_rng(1)
-    data = [(7 if i % 3 else 8, i, i % 4 if i < 40 else 5, int(n), np.full(4, n // 4, "<u4").tobytes())
+    data = [(7 if i % 3 else 8, i, i % 4 if i < 40 else 5, int(n), np.full(4, n // 4, "<u2").tobytes(), [7 if i % 3 else 8])
             for i, n in enumerate(rng.integers(20, 40, 200) * 4)]
-    df = spark.createDataFrame(data, "tree long, id long, comp long, n long, counts binary")
+    df = spark.createDataFrame(data, "tree long, id long, comp long, n long, counts binary, trees array<long>")
     packed = J.leaves(df.repartition(5), 6, 85).cache()
     assert sorted(i for r in packed.collect() for i in r.ids) == list(range(200)) and all(len(r.ids) <= 6 for r in packed.collect())
     near = J.leaf_pairs(packed, 85)
     uniform = {r.leaf for r in packed.collect() if r.comp_lo == r.comp_hi == 5}
     assert uniform and not any(r.x in uniform and r.y in uniform for r in near.collect())
     want = {(a[1], b[1]) for a in data for b in data if a[1] < b[1] and a[0] == b[0] and a[2] != b[2] and 185 * min(a[3], b[3]) >= 85 * (a[3] + b[3])}
-    assert {tuple(r) for r in J.point_pairs(packed, near, 85).collect()} == want
+    assert sorted(tuple(r) for r in J.point_pairs(packed, near, 85).collect()) == sorted(want)
+
+
+def test_a_pair_is_near_once(spark):
+    """Points that share several trees meet in the first of them, in small trees and in trees of several leaves."""
+    point = np.full(4, 5, "<u2").tobytes()
+    members = {1: range(0, 30), 2: range(20, 26), 3: range(5, 60), 4: (3, 70), 5: (3, 70, 71)}
+    trees = {}
+    for tree, ids in members.items():
+        for i in ids:
+            trees.setdefault(i, []).append(tree)
+    data = [(tree, i, i, 20, point, trees[i]) for tree, ids in members.items() for i in ids]
+    df = spark.createDataFrame(data, "tree long, id long, comp long, n long, counts binary, trees array<long>")
+    packed = J.leaves(df.repartition(3), 8, 85).cache()
+    got = sorted(tuple(r) for r in J.point_pairs(packed, J.leaf_pairs(packed, 85), 85).collect())
+    assert got == sorted({(a, b) for ids in members.values() for a in ids for b in ids if a < b})
+
+
+def test_counts_beyond_sixteen_bits_bound_nothing():
+    x = np.array([[J._MANY, 3], [J._MANY, 3]], np.uint16)
+    y = np.array([[J._MANY, 2], [9, 2]], np.uint16)
+    assert J.summed_minima(x, y).tolist() == [1 << 40, 11]
 
 
 def test_shingle_sets():
