@@ -45,12 +45,13 @@ class WuManber:
     def __init__(self, m: int, patterns: dict[tuple, set]):
         self.m, self.block = m, min(2, m)
         self.shift: dict = {}
-        self.buckets: dict = defaultdict(list)
+        self.buckets: dict = defaultdict(lambda: defaultdict(dict))  # by the last block, then the first word
         for words, items in patterns.items():
             for end in range(self.block, m + 1):
                 key = words[end - self.block:end]
                 self.shift[key] = min(self.shift.get(key, m), m - end)
-            self.buckets[words[m - self.block:]].append((words[0], words, sorted(items)))
+            self.buckets[words[m - self.block:]][words[0]][words] = sorted(items)
+        self.buckets = {block: dict(heads) for block, heads in self.buckets.items()}
 
     def search(self, words: list[bytes], mask: bytearray, items: set) -> None:
         """Mark the words inside any occurrence and add the items found."""
@@ -63,12 +64,10 @@ class WuManber:
             if step:
                 at += step
                 continue
-            first = words[at - m]
-            for head, pattern, ids in buckets[key]:
-                if head == first and tuple(words[at - m:at]) == pattern:
-                    mask[at - m:at] = b"\1" * m
-                    items.update(ids)
-                    break
+            patterns = buckets[key].get(words[at - m])
+            if patterns is not None and (ids := patterns.get(tuple(words[at - m:at]))) is not None:
+                mask[at - m:at] = b"\1" * m
+                items.update(ids)
             at += 1
 
 
