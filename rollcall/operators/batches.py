@@ -19,7 +19,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.operators.ranking import join_back, materialize, sequence_within
+from rollcall.operators.ranking import join_back, sequence_within
 
 #: The order of delivery: a group is there before its members, and empty before it goes.
 LEVELS = ("insert_group", "insert_member", "delete_member", "delete_group")
@@ -43,7 +43,7 @@ def outbox(change_sets: Sequence[ChangeSet], batch_size: int = 20) -> DataFrame:
                             F.to_json(cs.payload).alias("payload"))
              for cs in change_sets]
     rows = reduce(DataFrame.unionByName, parts)
-    numbered = sequence_within(rows, ["action"], ["request_key", "payload"], out="seq")
+    numbered = sequence_within(rows, ["action"], ["request_key", "payload"], out="seq", few_groups=True)
     return numbered.select(
         "action",
         F.floor((F.col("seq") - 1) / F.lit(batch_size)).cast("long").alias("batch_no"),
@@ -68,12 +68,12 @@ def ordered_outbox(change_sets: Sequence[ChangeSet], batch_size: int = 20) -> Da
                             request_key(cs.key_cols).alias("request_key"), F.to_json(cs.payload).alias("payload"))
              for cs in change_sets]
     once = reduce(DataFrame.unionByName, parts).groupBy("level", "action", "request_key").agg(F.min("payload").alias("payload"))
-    numbered = materialize(sequence_within(materialize(once), ["level"], ["request_key"], out="seq"))
+    numbered = sequence_within(once, ["level"], ["request_key"], out="seq", few_groups=True)
     sizes = numbered.groupBy("level").agg(F.ceil(F.max("seq") / F.lit(batch_size)).alias("n"))  # a row per level
     first = Window.partitionBy(F.lit(0)).orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("level", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("first"))
     batch = F.col("first") + F.floor((F.col("seq") - 1) / F.lit(batch_size))
-    return join_back(numbered, firsts, ["level"]).select(
+    return join_back(numbered, F.broadcast(firsts), ["level"]).select(
         "level", "action", batch.cast("long").alias("batch_no"), "seq",
         F.when(F.col("first") > 0, F.col("first") - 1).cast("long").alias("after_batch"),
         F.concat(F.col("action"), F.lit(":"), F.col("request_key")).alias("request_id"), "payload")

@@ -76,3 +76,13 @@ def test_numbering_with_null_group_keys(spark):
     c = ranking.cumulative_within(df, ["g"], ["id"], F.col("id"), out="c", num_partitions=3)
     assert rows(c, "id", "c") == [(1, 1), (2, 3), (3, 3), (4, 7), (5, 8)]
     assert rows(ranking.latest_per_key(df, ["g"], "id"), "id") == [(4,), (5,)]
+
+
+def test_materialize_reads_files(spark):
+    """The rows come back from Parquet; types that Parquet lacks from a checkpoint."""
+    from rollcall.operators.ranking import materialize
+
+    rows_ = spark.createDataFrame([(1, ["a", None]), (None, None)], "k long, v array<string>")
+    kept = materialize(rows_)
+    assert len(kept.inputFiles()) > 0 and kept.exceptAll(rows_).isEmpty() and kept.count() == 2
+    assert materialize(rows_.withColumn("n", F.lit(None))).columns == ["k", "v", "n"]

@@ -76,3 +76,11 @@ def test_outbox_batches_full_and_cover_every_row(spark):
     assert got == {("insert_member", 0): 20, ("insert_member", 1): 20, ("insert_member", 2): 20,
                    ("insert_member", 3): 20, ("insert_member", 4): 15, ("delete_member", 0): 7}
     assert box.select("request_id").distinct().count() == 102
+
+
+def test_timeblocks_need_no_python_rows(spark):
+    from rollcall.testbed import TIMEBLOCK_NAMES, Testbed
+
+    blocks = Testbed(spark, "/root/testdata/sf0.001").timeblocks
+    assert "ExistingRDD" not in blocks._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in blocks.orderBy("timeblock_id").collect()] == list(enumerate(TIMEBLOCK_NAMES))
