@@ -112,3 +112,46 @@ def test_requests_asked_twice_are_sent_once(spark):
     assert rows(box.select("batch_no", "seq", "after_batch")) == [(0, 1, None), (1, 2, None)]
     with pytest.raises(ValueError):
         ordered_outbox([ChangeSet("rename_group", df, keys, body)])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_least_answer_of_an_attempt(spark):
+    """Of several answers under one attempt the least counts, a missing status before any, a missing body before any."""
+    body = ("a", None, None, "m1")
+    landed = answers(spark, [("i:g1|a", 1, 200, body), ("i:g1|a", 1, None, body), ("i:g1|a", 1, None, None),
+                             ("i:g1|b", 1, 503, None), ("i:g1|b", 1, 200, body), ("i:g1|b", 1, 200, ("a", None, None, "m0"))])
+    got = {r.request_id: (r.status, r.body and r.body.etag) for r in ledger.record(answers(spark, []), landed).collect()}
+    assert got == {"i:g1|a": (None, None), "i:g1|b": (200, "m0")}
+
+
+def test_repeated_requests_share_their_attempts(spark, requests):
+    """A request id that stands twice, once per action, is folded over the outcomes under both."""
+    twice = requests.filter("request_id = 'i:g1|b'").withColumn("action", F.lit("delete_member")).unionByName(requests)
+    found = ledger.states(twice, ledger.record(answers(spark, []), answers(spark, LANDED)), max_attempts=2)
+    assert [(r.action, r.outcome, r.attempts) for r in found.filter("request_id = 'i:g1|b'").orderBy("action").collect()] == [
+        ("delete_member", "exists", 3), ("insert_member", "exists", 3)]
+
+
+def test_bodies_move_only_where_they_are_asked_for(spark, requests):
+    found = ledger.states(requests, ledger.record(answers(spark, []), answers(spark, LANDED)))
+    assert "max_by" not in plan_of(ledger.refused(found)) and "min_by" not in plan_of(found.drop("body", "seq"))
+    assert "max_by" in plan_of(found)
+
+
+def test_members_after_folds_once(spark, requests):
+    found = ledger.states(requests, ledger.record(answers(spark, []), answers(spark, LANDED)))
+    store = spark.createDataFrame([("g1", "a", "MEMBER", "USER", None)],
+                                  "google_groupid string, google_userid string, role string, type string, etag string")
+    assert "max_by" not in plan_of(ledger.members_after(store, found))
+
+
+def test_outbox_numbers_without_another_shuffle(spark):
+    rows_ = spark.range(1000).selectExpr("concat('g', id) AS google_groupid")
+    box = ordered_outbox([ChangeSet("delete_group", rows_, ["google_groupid"], F.struct("google_groupid"))], 20)
+    plan = plan_of(box)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+    got = box.orderBy("seq").collect()
+    assert [r.seq for r in got] == list(range(1, 1001)) and {r.batch_no for r in got} == set(range(50))
