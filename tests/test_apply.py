@@ -98,3 +98,18 @@ def test_insert_and_semi_and_stale(spark):
     acc = spark.createDataFrame([(1, "a@x"), (2, "b@x")], "id int, primary_email string")
     emails = spark.createDataFrame([("b@x",), ("b@x",), ("z@x",)], "primary_email string")
     assert rows(account_by_email(acc, emails), "id") == [(2,)]
+
+
+def test_text_keys_join_by_their_hash_first(spark):
+    """Text keys are sorted by a hash; null keys, repeated rows and keys of other types keep their meaning."""
+    t = spark.createDataFrame([("g1", "a", 1), ("g1", "a", 1), ("g1", None, 2), (None, "a", 3), ("g2", "b", 4)], "g string, u string, n int")
+    gone = spark.createDataFrame([("g1", "a"), ("g1", None), (None, "a"), ("g1", "a")], "g string, u string")
+    left = apply.delete(t, gone, ["g", "u"])
+    assert sorted(r.n for r in left.collect()) == [2, 3, 4]
+    assert "xxhash64" in left._jdf.queryExecution().optimizedPlan().toString()
+    numbers = spark.createDataFrame([(1,), (4,)], "n long")
+    assert sorted(r.n for r in apply.delete(t, numbers, ["n"]).collect()) == [2, 3]
+    texts = spark.createDataFrame([("7",), ("8",)], "k string")
+    assert [r.k for r in apply.delete(texts, spark.createDataFrame([(7,)], "k long"), ["k"]).collect()] == ["8"]
+    new = apply.upsert(t.filter("n > 1"), spark.createDataFrame([("g2", "b", 9), (None, "a", 8)], "g string, u string, n int"), ["g", "u"])
+    assert sorted((r.g or "", r.u or "", r.n) for r in new.collect()) == [("", "a", 3), ("", "a", 8), ("g1", "", 2), ("g2", "b", 9)]
