@@ -30,9 +30,13 @@ def unparsable(docs: DataFrame, doc: str) -> DataFrame:
 
 
 def walk(docs: DataFrame, keys: Sequence[str], doc: str) -> DataFrame:
-    """(keys…, path array, is_object, text): every value below the root of each document, objects included."""
+    """(keys…, path array, is_object, text): every value below the root of each document, objects included.
+
+    The documents are spread over as many tasks as shuffles have first: a file of many small documents is read by few.
+    """
     spark = docs.sparkSession
-    level = docs.select(*keys, F.array().cast("array<string>").alias("path"), F.lit(True).alias("is_object"),
+    spread = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, doc)
+    level = spread.select(*keys, F.array().cast("array<string>").alias("path"), F.lit(True).alias("is_object"),
                         F.to_json(F.try_parse_json(F.col(doc))).alias("text")).filter(F.col("text").startswith("{"))
     found: list[DataFrame] = []
     while True:

@@ -165,3 +165,11 @@ def test_a_broken_run_resumes(spark, tmpdir_path):
     assert committed_runs(spark, tmpdir_path) == ["n1"] and rows(restore(spark, tmpdir_path, "n1", "three")) == [(7, "accepted"), (8, "rejected")]
     audit = {r.output: (r.rows, r.rejects) for r in spark.read.parquet(f"{tmpdir_path}/run_id=n1/_audit").collect()}
     assert audit == {"one": (2, 1), "two": (2, 0), "three": (2, 0)}
+
+
+def test_walk_spreads_the_documents(spark):
+    """Documents of one partition are opened by several tasks, null keys and texts that repeat included."""
+    docs = spark.range(200).selectExpr("IF(id % 2 = 0, NULL, id) AS k", "concat('{\"a\":', id, '}') AS doc").coalesce(1)
+    values = documents.walk(docs, ["k"], "doc")
+    assert values.count() == 200
+    assert values.select(F.input_file_name()).distinct().count() > 1
