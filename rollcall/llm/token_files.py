@@ -43,7 +43,7 @@ from rollcall.session import ensure_checkpoint_dir
 
 END_ID, STRIDE, BLOCK_TOKENS, PARTS_KEPT = 1, 64, 1 << 18, 100_000
 #: Text bytes that are split and looked up at once (a longer text alone, whole).
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 4 << 20
 #: ASCII signs that make no token with letters or digits and stand in no special token.
 STOPS = ".,;:!?#$%&*"
 
