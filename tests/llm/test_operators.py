@@ -472,3 +472,20 @@ def test_stops_behind_letters_that_fall_apart():
     whole = Encoder(default_tokenizer(), by_chunk=False).encode(texts)
     chunked = Encoder(default_tokenizer())
     assert [chunked.encode([t])[0] for t in texts] == whole
+
+
+def test_a_slice_of_texts_takes_little_memory():
+    """What a worker holds to encode one slice of texts, however long its table is."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from rollcall.llm import token_files
+
+    enc = token_files.encoder(token_files.default_tokenizer())
+    text = "the cat sat on a mat, so it is. " * (token_files.TEXT_BYTES // 32 // 64)
+    tracemalloc.start()
+    enc.encode_column(pa.array([text] * 64), 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
