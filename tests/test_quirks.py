@@ -114,6 +114,33 @@ def test_section_group_plan_has_no_window_or_cartesian(spark, capsys):
     assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_section_groups_are_dealt_by_the_section_alone(spark, capsys):
+    """No shuffle by term, by first key or by the finished names (the last distinct lies where the joins left the rows)."""
+    _, src = _section_fixture(spark)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        extract.section_groups(src, CFG).explain()
+        dealt = re.findall(r"hashpartitioning\((.*?), \d+\)", capsys.readouterr().out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert any(d.startswith("section_id") for d in dealt)
+    assert not [d for d in dealt if re.search("term_id|t_term|first|group_|struct", d)]
+
+
+def test_section_groups_with_names_missing(spark):
+    """A missing first name sorts last; alone it is the first, and its ties stay."""
+    d, src = _section_fixture(spark)
+    d["users"] = [(1, None, "Ana"), (2, "Smith", "Ben"), (3, None, "Bo"), (4, None, "Cy")]
+    src["users"] = spark.createDataFrame(d["users"], src["users"].schema)
+    src["section_teacher"] = spark.createDataFrame([(1000, 1, True), (1000, 2, True), (1001, 1, True), (1001, 3, True), (1001, 3, True)],
+                                                   src["section_teacher"].schema)
+    got = extract.section_groups(src, CFG).collect()
+    assert sorted((r["section_id"], r["group_owner"]) for r in got) == [(1000, 2), (1001, 1), (1001, 3)]
+
+
 def test_duplicate_addresses_collapse_and_unlabelled_rejected(spark):
     _, src = _section_fixture(spark)
     secs = extract.section_groups(src, CFG)
