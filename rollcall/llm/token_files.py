@@ -30,6 +30,7 @@ import unicodedata
 import uuid
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
@@ -38,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import discard, map_arrow, slices, staged
+from rollcall.llm.common import discard, map_arrow, slices, staged, utf8
 from rollcall.session import ensure_checkpoint_dir
 
 END_ID, STRIDE, BLOCK_TOKENS, PARTS_KEPT = 1, 64, 1 << 18, 100_000
@@ -46,6 +47,8 @@ END_ID, STRIDE, BLOCK_TOKENS, PARTS_KEPT = 1, 64, 1 << 18, 100_000
 TEXT_BYTES = 4 << 20
 #: ASCII signs that make no token with letters or digits and stand in no special token.
 STOPS = ".,;:!?#$%&*"
+#: ASCII letters and digits by byte.
+ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
 def default_tokenizer() -> str:
@@ -58,7 +61,11 @@ def default_tokenizer() -> str:
 
 def ends_apart(word: str) -> bool:
     """True if the word's last character stays a letter or digit at its end after NFC and lower-casing."""
-    last = word[-1:]
+    return _stays(word[-1:])
+
+
+@lru_cache(1 << 16)
+def _stays(last: str) -> bool:
     return last.isalnum() and (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalnum())
 
 
@@ -121,6 +128,8 @@ class Encoder:
         if self.lean is None:
             return self._cut(self.tokenizer, words, words)
         plain = [w.lower() if w.isascii() else as_bytes(w) for w in words]
+        if None not in plain:
+            return self._cut(self.lean, plain, words)
         out: list = [None] * len(words)
         for tokenizer, which in ((self.lean, [k for k, p in enumerate(plain) if p is not None]),
                                  (self.tokenizer, [k for k, p in enumerate(plain) if p is None])):
@@ -155,8 +164,8 @@ class Encoder:
         if len(self.recent) + len(missing) > self.keep:
             self.older, self.recent = self.recent, {}
         if self.older:
-            for k in missing:
-                ids[k] = self.older.get(parts[k])
+            for k, i in zip(missing, map(self.older.get, [parts[k] for k in missing])):
+                ids[k] = i
         new = np.array([k for k in missing if ids[k] is None], np.int64)
         for which, encode in ((new[letters[new]], self._words), (new[~letters[new]], self._library)):
             for a in range(0, len(which), 20_000):
@@ -192,8 +201,17 @@ class Encoder:
     def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct chunks one behind another, and how many each has."""
         words = pc.utf8_rtrim(chunks, characters=STOPS)
-        stopped = np.flatnonzero(pc.less(pc.binary_length(words), pc.binary_length(chunks)).to_numpy(zero_copy_only=False))
+        buf, cut = utf8(chunks)
+        n = pc.binary_length(words).to_numpy()
+        stopped = np.flatnonzero(n < np.diff(cut))
         apart, stop, stops = np.zeros(len(chunks), bool), np.zeros(len(chunks), np.int64), {"": 0}  # part 0 is empty
+        # most have one stop behind an ASCII letter or digit: they are told by two bytes, the others looked at one by one
+        behind = cut[stopped] + n[stopped]
+        plain = (n[stopped] > 0) & (behind + 1 == cut[stopped + 1]) & ALNUM[buf[behind - 1]]
+        signs, of = np.unique(buf[behind[plain]], return_inverse=True)
+        apart[stopped[plain]] = True
+        stop[stopped[plain]] = np.array([stops.setdefault(chr(b), len(stops)) for b in signs], np.int64)[of]
+        stopped = stopped[~plain]
         for k, chunk, word in zip(stopped.tolist(), _strings(chunks.take(stopped)), _strings(words.take(stopped))):
             if ends_apart(word):
                 apart[k] = True

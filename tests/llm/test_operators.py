@@ -489,3 +489,15 @@ def test_a_slice_of_texts_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 64 << 20
+
+
+def test_a_stop_behind_a_plain_word_is_told_by_its_bytes(monkeypatch):
+    """One stop behind an ASCII letter or digit needs no look at the word in Python."""
+    from rollcall.llm import token_files
+
+    texts = ["The cat, a dog; 12% of x9. Yes! No? a#b# c$ (d, é, e", "", ". ,", "end."]
+    whole = token_files.Encoder(token_files.default_tokenizer(), by_chunk=False).encode(texts)
+    looked = []
+    monkeypatch.setattr(token_files, "ends_apart", lambda word, plain=token_files.ends_apart: looked.append(word) or plain(word))
+    assert token_files.Encoder(token_files.default_tokenizer()).encode(texts) == whole
+    assert set(looked) <= {"é", ""}
