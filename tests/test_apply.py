@@ -24,6 +24,13 @@ def test_upsert_tells_supplied_null_from_absent(spark):
     assert rows(out) == [(1, None, "b1", 10)]
 
 
+def test_upsert_of_rows_for_new_keys_only(spark):
+    t = spark.createDataFrame([(1, None, "b1", 10), (1, "a1", "b1", 11), (2, "a2", "b2", 20), (None, "a0", None, 0)], T)
+    ch = spark.createDataFrame([(1, "A1", True), (2, "A2", False), (3, "A3", True), (4, "A4", None), (None, "A0", True)], "id int, a string, new boolean")
+    out = apply.upsert(t, ch, ["id"], new_only_col="new")
+    assert rows(out, "id", "a", "c") == [(1, "a1", 11), (1, None, 10), (2, "A2", 20), (3, "A3", None), (4, "A4", None), (None, "A0", None), (None, "a0", 0)]
+
+
 def test_update_ignores_unknown_keys_and_delete(spark):
     t = spark.createDataFrame([(1, "a1", "b1", 10), (2, "a2", "b2", 20)], T)
     ch = spark.createDataFrame([(2, 99), (5, 50)], "id int, c int")

@@ -1,14 +1,19 @@
 """The ledger of attempts and the ordered outbox."""
 
+import glob
 import json
+import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from rollcall.operators import ledger
+from rollcall.operators import ledger, ranking
 from rollcall.operators.batches import ChangeSet, ordered_outbox
 from rollcall.plans import jobs
+from rollcall.session import ensure_checkpoint_dir
 from rollcall.testbed import Testbed
 
 SF = "/root/testdata/sf0.001"
@@ -155,3 +160,75 @@ def test_outbox_numbers_without_another_shuffle(spark):
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
     got = box.orderBy("seq").collect()
     assert [r.seq for r in got] == list(range(1, 1001)) and {r.batch_no for r in got} == set(range(50))
+
+
+def test_requests_and_answers_move_once(spark, requests):
+    found = ledger.states(requests, ledger.record(answers(spark, []).limit(0), answers(spark, LANDED)))
+    assert plan_of(found).count("Exchange hashpartitioning") == 2
+
+
+def test_members_after_reads_the_store_once(spark, requests):
+    found = ledger.states(requests, ledger.record(answers(spark, []), answers(spark, LANDED)))
+    store = spark.createDataFrame([("g1", "a", "MEMBER", "USER"), ("g1", "a", "OWNER", "USER"), ("g1", "b", "OWNER", None), (None, "b", "OWNER", None)],
+                                  "google_groupid string, google_userid string, role string, type string")
+    after = ledger.members_after(store, found)
+    assert plan_of(after).count("Scan ExistingRDD") == 1
+    assert rows(after) == [("g1", "b", "OWNER", None), (None, "b", "OWNER", None)]
+
+
+def test_slices_give_the_same_members(spark, requests, tmpdir_path, monkeypatch):
+    """Inputs beyond a slice are worked off slice by slice, each of which shuffles its own rows alone."""
+    requests.write.parquet(f"{tmpdir_path}/requests")
+    answers(spark, LANDED).write.parquet(f"{tmpdir_path}/landed")
+    landed = spark.read.parquet(f"{tmpdir_path}/landed")
+    found = ledger.states(spark.read.parquet(f"{tmpdir_path}/requests"), ledger.record(landed.limit(0), landed))
+    store = spark.createDataFrame([("g1", "b", "OWNER", "USER", "old"), ("g1", "d", "MEMBER", "USER", None), ("g9", "z", "OWNER", "USER", None)],
+                                  "google_groupid string, google_userid string, role string, type string, etag string")
+    whole = rows(ledger.members_after(store, found))
+    sizes = sum(os.path.getsize(f) for d in ("requests", "landed") for f in glob.glob(f"{tmpdir_path}/{d}/*.parquet"))
+    monkeypatch.setattr(ranking, "SLICE_BYTES", -(-sizes // 3))
+    assert ranking.slices_of(found) == 3
+    kept = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(kept))
+    assert rows(ledger.members_after(store, found)) == whole == [("g1", "b", "OWNER", "USER", "old"), ("g9", "z", "OWNER", "USER", None)]
+    assert len(set(os.listdir(kept)) - before) == 1  # the settled requests went, their last ones per member are there
+    plan = plan_of(found.filter(F.pmod(F.xxhash64("request_id"), F.lit(3)) == 1))
+    below = [part for part in plan.split("Exchange hashpartitioning")[1:]]
+    assert len(below) == 2 and all("Filter" in part and "pmod(xxhash64(request_id" in part for part in below)
+
+
+def test_shuffles_go_with_the_write(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and f.endswith(".data")}
+    before = shuffled()
+    kept = ranking.materialize(spark.range(1000).repartition(4, "id"))
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and kept.count() == 1000
+
+
+def test_states_follow_the_rules_request_by_request(spark):
+    """Any mix of answers and repeated, unnamed and unknown requests, against the rules in plain Python."""
+    rng = random.Random(5)
+    asked = [(rng.choice([None, *"abcdefghij"]), rng.choice(["insert_member", "delete_member", "delete_group", None]), n) for n in range(30)]
+    tried = [(i, n, rng.choice([None, 200, 204, 403, 404, 409, 410, 429, 503]), rng.choice([None, ("u", rng.choice([None, "OWNER"]), None, f"e{rng.randrange(3)}")]))
+             for i in "abcdefghxy" for n in rng.sample(range(1, 9), rng.randrange(1, 5))]
+
+    def outcome(action, status):
+        insert = action is not None and action.startswith("insert")
+        return ("pending" if status is None else "done" if 200 <= status < 300 else "exists" if insert and status == 409 else
+                "absent" if action is not None and not insert and status in (404, 410) else "retry" if status in (408, 429) or status >= 500 else "rejected")
+
+    least = lambda v: (v is not None, () if v is None else tuple((x is not None, x or "") for x in v) if isinstance(v, tuple) else v)
+    want = []
+    for i, action, seq in asked:
+        of = [(outcome(a, s) in ledger.SETTLED, n, outcome(a, s), s, body) for j, n, s, body in tried for k, a, _ in asked if i == j == k]
+        best = max(of, key=lambda o: (*o[:3], least(o[3]), least(o[4])), default=None)
+        n = max((o[1] for o in of), default=0)
+        said = "pending" if best is None else "failed" if best[2] == "retry" and n >= 5 else best[2]
+        want.append((i, action, seq, said, n, best and best[3], best and best[4]))
+    got = ledger.states(spark.createDataFrame(asked, "request_id string, action string, seq long"), answers(spark, tried)).collect()
+    key = lambda r: r[2]
+    assert sorted(((*r[:6], r.body and tuple(r.body)) for r in got), key=key) == sorted(want, key=key)
